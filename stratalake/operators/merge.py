@@ -14,25 +14,20 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.conform import keys_present
 
-IN_TARGET, IN_SOURCE = "__in_target", "__in_source"
+IN_TARGET, IN_SOURCE, SPREAD = "__in_target", "__in_source", "__spread"
 
 
-def _condition(keys: Sequence[str], match: str | None) -> Column:
-    equal = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
-    return reduce(and_, equal + ([F.expr(match)] if match else []))
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """An extra join key: constant for rows that can match, the row's hash for rows
+    with a null key.  Those never match, but would all be sent to one task."""
+    return F.when(keys_present(keys), F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
 
 
-def _updated(target: DataFrame, update: Sequence[str], guard: str | None) -> dict[str, Column]:
-    """Value of each target column for a row that has a target side."""
-    applies = F.col(f"s.{IN_SOURCE}").isNotNull()
-    if guard:
-        applies = applies & F.coalesce(F.expr(guard), F.lit(False))
-    return {
-        name: F.when(applies, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}"))
-        if name in update
-        else F.col(f"t.{name}")
-        for name in target.columns
-    }
+def _prepared(df: DataFrame, keys: Sequence[str], marker: str, spread: bool) -> DataFrame:
+    columns = {marker: F.lit(True)}
+    if spread:
+        columns[SPREAD] = _spread(df, keys)
+    return df.withColumns(columns)
 
 
 def merge_rows(
@@ -45,50 +40,50 @@ def merge_rows(
     match: str | None = None,
     insert: bool = True,
     small_source: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """All rows of ``target`` after merging ``source``.
 
     A target row matched on ``keys`` (and ``match``) takes the ``update`` columns
     from the source when ``guard`` is true; a null guard counts as false.  Other
     target rows stay.  Unmatched source rows are added when ``insert``.  A null
-    key never matches, so those rows are kept out of the join: they would all
-    hash to one task.
+    key never matches.
 
-    With ``small_source`` the plan avoids a full outer join, which can never be
-    broadcast: the target is then read in place and only the source moves.
+    A full outer join can never be broadcast, so with ``small_source`` the merge
+    is a left join plus the source rows without a match: if Spark then broadcasts
+    the source, the target is read in place.  ``bucketed`` says that the target
+    is bucketed by its keys, which an extra join key would spoil.
     """
     missing = sorted({*keys, *update} - set(source.columns))
     if missing:
         raise ValueError(f"merge source lacks columns {missing}")
-    keyed = keys_present(keys)
-    t = target.where(keyed).alias("t")
-    s = source.where(keyed).withColumn(IN_SOURCE, F.lit(True)).alias("s")
-    on = _condition(keys, match)
+    t = _prepared(target, keys, IN_TARGET, not bucketed).alias("t")
+    s = _prepared(source, keys, IN_SOURCE, not bucketed).alias("s")
+    join_keys = [*keys] if bucketed else [*keys, SPREAD]
+    conditions = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in join_keys]
+    if match:
+        conditions.append(F.expr(match))
+    on = reduce(and_, conditions)
 
-    if not insert or small_source:
-        columns = _updated(target, update, guard)
-        merged = t.join(s, on, "left").select(*[v.alias(k) for k, v in columns.items()])
-        if insert:
-            known = s.join(t, on, "inner").select(*[f"s.{key}" for key in keys]).distinct()
-            merged = merged.unionByName(
-                source.where(keyed).join(known, list(keys), "left_anti").select(*target.columns)
-            )
-    else:
-        columns = _updated(target, update, guard)
-        present = F.col(f"t.{IN_TARGET}").isNotNull()
-        merged = (
-            target.where(keyed)
-            .withColumn(IN_TARGET, F.lit(True))
-            .alias("t")
-            .join(s, on, "full_outer")
-            .select(
-                *[
-                    F.when(present, value).otherwise(F.col(f"s.{name}")).alias(name)
-                    for name, value in columns.items()
-                ]
-            )
-        )
-    merged = merged.unionByName(target.where(~keyed))
-    if insert:
-        merged = merged.unionByName(source.where(~keyed).select(*target.columns))
+    applies = F.col(f"s.{IN_SOURCE}").isNotNull()
+    if guard:
+        applies = applies & F.coalesce(F.expr(guard), F.lit(False))
+    columns = {
+        name: F.when(applies, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}"))
+        if name in update
+        else F.col(f"t.{name}")
+        for name in target.columns
+    }
+    if insert and not small_source:
+        in_target = F.col(f"t.{IN_TARGET}").isNotNull()
+        columns = {
+            name: F.when(in_target, value).otherwise(F.col(f"s.{name}"))
+            for name, value in columns.items()
+        }
+    joined = t.join(s, on, "full_outer" if insert and not small_source else "left")
+    merged = joined.select(*[value.alias(name) for name, value in columns.items()])
+    if insert and small_source:
+        known = s.join(t, on).select(*[f"s.{key}" for key in keys]).distinct()
+        new = source.join(known, list(keys), "left_anti")
+        merged = merged.unionByName(new.select(*target.columns))
     return merged

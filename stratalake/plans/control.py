@@ -54,8 +54,8 @@ def next_batch(lake: Lake) -> str | None:
 
 
 def _control_row(lake: Lake, batch_id: str, status: str) -> DataFrame:
-    row = lake.spark.createDataFrame([(batch_id, status)], "batch_id string, status string")
-    return stamp_write_times(row.coalesce(1))
+    row = lake.spark.range(1, numPartitions=1)
+    return stamp_write_times(row.select(F.lit(batch_id).alias("batch_id"), F.lit(status).alias("status")))
 
 
 def start_batch(lake: Lake, batch_id: str | None, *, keep_attempts: bool = False) -> None:

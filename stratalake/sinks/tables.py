@@ -9,13 +9,14 @@ and a retried one simply writes another folder.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +27,8 @@ from stratalake.storage import delete_folder, list_folders, staged
 # An upsert source up to this many rows is merged without moving the target.
 SMALL_SOURCE_ROWS = 1_000_000
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Values Spark writes into folder names as they are.
+_PLAIN_VALUE = re.compile(r"[A-Za-z0-9_. -]+")
 
 
 @dataclass(frozen=True)
@@ -94,13 +97,6 @@ def create_view(spark: SparkSession, name: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
-def _partition_column(spark: SparkSession, name: str) -> str | None:
-    found = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
-    if len(found) > 1:
-        raise ValueError(f"{name} has several partition columns: {found}")
-    return found[0] if found else None
-
-
 def _same_columns(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the column order of the table; other names or types are an error."""
     table = df.sparkSession.table(name).schema
@@ -115,7 +111,7 @@ def _same_columns(df: DataFrame, name: str) -> DataFrame:
 # -- versions -----------------------------------------------------------------------------
 
 
-def _write_version(df: DataFrame, name: str, layout: TableLayout) -> tuple[str, list[str]]:
+def _write_version(df: DataFrame, name: str, layout: TableLayout) -> tuple[str, set[str]]:
     """Write ``df`` as a new version; returns its folder and its partition folders.
 
     The files are written through a short-lived external table, because that is
@@ -125,7 +121,7 @@ def _write_version(df: DataFrame, name: str, layout: TableLayout) -> tuple[str,
     path = _new_version(spark, name)
     if layout == PLAIN:
         df.write.parquet(path)
-        return path, []
+        return path, set()
     loading = f"{name.rsplit('.', 1)[0]}.loading_{uuid.uuid4().hex}"
     writer = df.write.option("path", path)
     if layout.partition_by:
@@ -134,10 +130,7 @@ def _write_version(df: DataFrame, name: str, layout: TableLayout) -> tuple[str,
         writer = writer.bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by)
     writer.saveAsTable(loading)
     try:
-        partitions = []
-        if layout.partition_by:
-            partitions = [row[0] for row in spark.sql(f"SHOW PARTITIONS {loading}").collect()]
-        return path, partitions
+        return path, _partitions(spark, loading) if layout.partition_by else set()
     finally:
         spark.sql(f"DROP TABLE {loading}")  # external: the files stay
 
@@ -163,31 +156,49 @@ def _partition_clause(folder: str) -> str:
     return f"PARTITION (`{column}` = '{text}')"
 
 
-def _point_partition(spark: SparkSession, name: str, clause: str, path: str) -> None:
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clause} LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION '{path}'")
+def _partitions(spark: SparkSession, name: str) -> set[str]:
+    """Partition folders such as ``season=2025`` known to the catalog."""
+    return {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def _point_partitions(spark: SparkSession, name: str, paths: dict[str, str]) -> None:
+    """Point each partition at its folder, adding the ones the catalog does not know yet."""
+    known = _partitions(spark, name)
+    new = [folder for folder in paths if folder not in known]
+    if new:
+        added = " ".join(f"{_partition_clause(f)} LOCATION '{paths[f]}'" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    for folder in paths.keys() & known:
+        clause = _partition_clause(folder)
+        spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION '{paths[folder]}'")
 
 
 def _publish(
-    spark: SparkSession, name: str, path: str, partitions: list[str], partitioned: bool
+    spark: SparkSession, name: str, path: str, partitions: set[str], partitioned: bool
 ) -> None:
     """Point the table, or the given partitions of it, at freshly written files."""
     if partitioned:
-        for folder in partitions:
-            _point_partition(spark, name, _partition_clause(folder), f"{path}/{folder}")
+        _point_partitions(spark, name, {folder: f"{path}/{folder}" for folder in partitions})
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)
 
 
 def _stored_layout(spark: SparkSession, name: str) -> TableLayout:
-    details = {
-        row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
-    }
+    """Layout of an existing table, from one catalog call."""
+    rows = [(row[0], row[1]) for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()]
+    details = dict(rows)
+    partition_by = None
+    if ("# Partition Information", "") in rows:
+        start = rows.index(("# Partition Information", "")) + 2  # skip the header line
+        names = [text for text, _ in rows[start : rows.index(("", ""), start)]]
+        if len(names) > 1:
+            raise ValueError(f"{name} has several partition columns: {names}")
+        partition_by = names[0]
     buckets = int(details.get("Num Buckets", 0))
-    names = details.get("Bucket Columns", "[]").strip("[]")
-    bucket_by = tuple(part.strip().strip("`") for part in names.split(",")) if buckets else ()
-    return TableLayout(_partition_column(spark, name), bucket_by, buckets)
+    listed = details.get("Bucket Columns", "[]").strip("[]")
+    bucket_by = tuple(part.strip().strip("`") for part in listed.split(",")) if buckets else ()
+    return TableLayout(partition_by, bucket_by, buckets)
 
 
 # -- writes -------------------------------------------------------------------------------
@@ -202,12 +213,10 @@ def overwrite(df: DataFrame, name: str, layout: TableLayout = PLAIN) -> None:
     path, partitions = _write_version(_clustered(df, layout), name, layout)
     if not exists:
         ensure_table(spark, name, df.schema, layout, location=path)
-    before = set()
-    if layout.partition_by:
-        before = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     _publish(spark, name, path, partitions, layout.partition_by is not None)
-    for folder in sorted(before - set(partitions)):
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {_partition_clause(folder)}")
+    if layout.partition_by:
+        for folder in _partitions(spark, name) - partitions:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {_partition_clause(folder)}")
 
 
 def append(df: DataFrame, name: str) -> None:
@@ -235,6 +244,8 @@ def replace_partition(df: DataFrame, name: str, column: str, value: str) -> None
     a batch can be loaded again at any time.  No shuffle: all rows share the
     value, and the switch is one catalog change.
     """
+    if not _PLAIN_VALUE.fullmatch(value):
+        raise ValueError(f"not usable as a partition value: {value!r}")
     spark = df.sparkSession
     stamped = df.withColumn(column, F.lit(value))
     if not spark.catalog.tableExists(name):
@@ -242,20 +253,44 @@ def replace_partition(df: DataFrame, name: str, column: str, value: str) -> None
     rows = _same_columns(stamped, name).drop(column)
     path = _new_version(spark, name)
     rows.write.parquet(path)
-    text = value.replace("\\", "\\\\").replace("'", "\\'")
-    _point_partition(spark, name, f"PARTITION (`{column}` = '{text}')", path)
+    _point_partitions(spark, name, {f"{column}={value}": path})
     spark.catalog.refreshTable(name)
 
 
-def _touched(target: DataFrame, source: DataFrame, column: str) -> Column:
-    """Filter for the partitions the source reaches.
+@dataclass(frozen=True)
+class _SourceProfile:
+    rows: int
+    repeats: bool
+    partitions: list
+    null_partition: bool
+
 
-    The values collected are partitions of one catalog table, each of which gets
-    its own catalog update below; a literal filter prunes the scan for certain.
+def _profile(source: DataFrame, keys: Sequence[str], column: str | None) -> _SourceProfile:
+    """What an upsert has to know about its source, from one aggregation.
+
+    The partition values are those of one catalog table, each of which gets its
+    own catalog update later, so they fit the driver.
     """
-    values = [row[0] for row in source.select(column).distinct().collect()]
-    present = F.col(column).isin([value for value in values if value is not None])
-    return present | F.col(column).isNull() if None in values else present
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    value = F.col(column) if column else F.lit(None)
+    found = per_key.agg(
+        F.sum("__n").alias("rows"),
+        F.max(F.when(keys_present(keys), F.col("__n"))).alias("most"),
+        F.collect_set(value).alias("partitions"),
+        F.count_if(value.isNull()).alias("null_partitions"),
+    ).first()
+    return _SourceProfile(
+        rows=found.rows or 0,
+        repeats=(found.most or 0) > 1,
+        partitions=found.partitions,
+        null_partition=found.null_partitions > 0,
+    )
+
+
+def _reached(target: DataFrame, column: str, source: _SourceProfile) -> DataFrame:
+    """The partitions the source reaches; literal values, so that the scan is pruned."""
+    reached = F.col(column).isin(source.partitions)
+    return target.where(reached | F.col(column).isNull() if source.null_partition else reached)
 
 
 def _require_single_match(
@@ -265,8 +300,6 @@ def _require_single_match(
     repeated = (
         source.where(keys_present(keys)).groupBy(*keys).count().where("count > 1").drop("count")
     )
-    if repeated.isEmpty():
-        return
     candidates = target.alias("t")
     if match:
         candidates = candidates.where(F.expr(match))
@@ -303,10 +336,11 @@ def upsert(
     if layout.partition_by and layout.partition_by not in keys:
         raise ValueError(f"{name} is partitioned by {layout.partition_by}, which is not a merge key")
     with staged(source, "upsert") as rows:
-        target = spark.table(name)
+        profile, target = _profile(rows, keys, layout.partition_by), spark.table(name)
         if layout.partition_by:
-            target = target.where(_touched(target, rows, layout.partition_by))
-        _require_single_match(target, rows, keys, match)
+            target = _reached(target, layout.partition_by, profile)
+        if profile.repeats:
+            _require_single_match(target, rows, keys, match)
         merged = merge_rows(
             target,
             rows,
@@ -315,7 +349,8 @@ def upsert(
             guard=guard,
             match=match,
             insert=insert,
-            small_source=not layout.bucket_by and rows.count() <= small_source_rows,
+            small_source=not layout.bucket_by and profile.rows <= small_source_rows,
+            bucketed=bool(layout.bucket_by),
         )
         path, partitions = _write_version(merged, name, layout)
     _publish(spark, name, path, partitions, layout.partition_by is not None)
@@ -333,11 +368,10 @@ def _live_folders(spark: SparkSession, name: str, layout: TableLayout) -> set[st
 
     if not layout.partition_by:
         return {location().rsplit("/", 1)[-1]}
-    shown = spark.sql(f"SHOW PARTITIONS {name}").collect()
     root = _root(spark, name).split(":", 1)[-1].lstrip("/")
     return {
-        location(_partition_clause(row[0])).split(root, 1)[-1].strip("/").split("/")[0]
-        for row in shown
+        location(_partition_clause(folder)).split(root, 1)[-1].strip("/").split("/")[0]
+        for folder in _partitions(spark, name)
     }
 
 

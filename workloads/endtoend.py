@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.plans.full_load import run_full_load
 from stratalake.plans.incremental import run_next
+from stratalake.storage import written_copy
 from workloads.files import write_json_documents
 from workloads.registry import load, new_lake, query
 
@@ -59,7 +60,7 @@ def _sessions(spark, sf_dir, batch) -> DataFrame:
 def write_landing(spark, sf_dir: str, folder: str, batch) -> None:
     """The six landing datasets of one batch."""
     number = batch[1]
-    sessions = _sessions(spark, sf_dir, batch)
+    sessions = written_copy(_sessions(spark, sf_dir, batch), "sessions")
     suppliers, customers = load(spark, sf_dir, "supplier"), load(spark, sf_dir, "customer")
 
     suppliers.select(

@@ -77,18 +77,19 @@ def json_nested_flatten(spark, sf_dir):
     )
 
 
-def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        text = "[\n" + ",\n".join(batch["row"]) + "\n]"
-        yield pd.DataFrame({"value": [text]})
-
-
 def write_json_documents(rows: DataFrame, path: str) -> None:
     """Files holding one JSON array each, spread over lines.  A document is one Arrow
     batch of a task, so its size is bounded and nothing is shuffled."""
+
+    # Nested, so that Spark ships it by value: executors need not have this module.
+    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            text = "[\n" + ",\n".join(batch["row"]) + "\n]"
+            yield pd.DataFrame({"value": [text]})
+
     as_json = rows.select(F.to_json(F.struct(*rows.columns)).alias("row"))
-    documents = as_json.mapInPandas(_documents, "value string")
-    documents.write.option("maxRecordsPerFile", 1).text(path)
+    written = as_json.mapInPandas(documents, "value string")
+    written.write.option("maxRecordsPerFile", 1).text(path)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
