@@ -96,17 +96,21 @@ def standings(
     key: str,
     labels: Sequence[str],
     season: str = "season",
+    dimension_rows: int | None = None,
     max_rows_per_task: int = MAX_ROWS_PER_RANKING_TASK,
 ) -> DataFrame:
     """Rank entities within each season by points, then wins; ties share a rank.
 
-    A season ranks at most one row per dimension row, so counting the dimension
-    bounds the largest window group.  Within the bound the plan is a plain
-    ``RANK()`` window, beyond it :func:`rank_spread`.
+    A season ranks at most one row per dimension row, so the size of the dimension
+    (counted unless ``dimension_rows`` is given) bounds the largest window group.
+    Within the bound the plan is a plain ``RANK()`` window, beyond it
+    :func:`rank_spread`.
     """
     totals = season_totals(fact, dimension, key, labels, season)
     scores = ["total_points", "number_of_wins"]
-    if dimension.select(key).count() <= max_rows_per_task:
+    if dimension_rows is None:
+        dimension_rows = dimension.select(key).count()
+    if dimension_rows <= max_rows_per_task:
         window = Window.partitionBy(season).orderBy(*_best_first(scores))
         ranked = totals.withColumn("standing", F.rank().over(window))
     else:

@@ -17,6 +17,9 @@ CONTROL_COLUMNS = (
 )
 EVENT_COLUMNS = "batch_id INT, event_timestamp TIMESTAMP"
 
+# What the upsert need not find out about a source of one literal row.
+_ONE_ROW = {"unique_source": True, "small_source": False}
+
 
 def create_control_table(lake: Lake) -> None:
     ensure_table(lake.spark, lake.control_table, CONTROL_COLUMNS)
@@ -69,7 +72,9 @@ def start_batch(lake: Lake, batch_id: str | None, *, keep_attempts: bool = False
     if keep_attempts:
         append(row, lake.control_table)
     else:
-        upsert(row, lake.control_table, keys=["batch_id"], update=["status", UPDATED_AT])
+        upsert(
+            row, lake.control_table, keys=["batch_id"], update=["status", UPDATED_AT], **_ONE_ROW
+        )
 
 
 def complete_batch(lake: Lake, batch_id: str | None) -> None:
@@ -81,4 +86,5 @@ def complete_batch(lake: Lake, batch_id: str | None) -> None:
         match=f"t.status = '{IN_PROGRESS}'",
         update=["status", UPDATED_AT],
         insert=False,
+        **_ONE_ROW,
     )

@@ -34,7 +34,8 @@ def write_silver(
     rows: DataFrame, name: str, keys: tuple[str, ...], update: tuple[str, ...],
     layout: TableLayout = PLAIN,
 ) -> None:
-    """Guarded upsert: newer or equal batches update, the creation time stays."""
+    """Guarded upsert: newer or equal batches update, the creation time stays.
+    ``rows`` hold each key once, as :func:`conform` leaves them."""
     upsert(
         stamp_write_times(rows),
         name,
@@ -42,6 +43,7 @@ def write_silver(
         update=[*update, *LINEAGE_COLUMNS, UPDATED_AT],
         guard=NOT_OLDER,
         layout=layout,
+        unique_source=True,
     )
 
 

@@ -24,8 +24,10 @@ from stratalake.operators.conform import keys_present
 from stratalake.operators.merge import merge_rows
 from stratalake.storage import delete_folder, list_folders, staged
 
-# An upsert source up to this many rows is merged without moving the target.
+# An upsert source up to this many rows, and this many times smaller than the target, is
+# merged without moving the target.
 SMALL_SOURCE_ROWS = 1_000_000
+SMALL_SOURCE_SHARE = 10
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Values Spark writes into folder names as they are.
 _PLAIN_VALUE = re.compile(r"[A-Za-z0-9_. -]+")
@@ -265,25 +267,32 @@ class _SourceProfile:
     null_partition: bool
 
 
-def _profile(source: DataFrame, keys: Sequence[str], column: str | None) -> _SourceProfile:
+def _profile(
+    source: DataFrame, keys: Sequence[str], column: str | None, unique: bool
+) -> _SourceProfile:
     """What an upsert has to know about its source, from one aggregation.
 
     The partition values are those of one catalog table, each of which gets its
     own catalog update later, so they fit the driver.
     """
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    value = F.col(column) if column else F.lit(None)
-    found = per_key.agg(
+    one = F.lit(1).cast("long")
+    if unique:
+        counted = source.withColumn("__n", one)
+    else:
+        counted = source.groupBy(*keys).agg(F.count(one).alias("__n"))
+    wanted = [
         F.sum("__n").alias("rows"),
         F.max(F.when(keys_present(keys), F.col("__n"))).alias("most"),
-        F.collect_set(value).alias("partitions"),
-        F.count_if(value.isNull()).alias("null_partitions"),
-    ).first()
+    ]
+    if column:
+        wanted.append(F.collect_set(column).alias("values"))
+        wanted.append(F.count_if(F.col(column).isNull()).alias("nulls"))
+    found = counted.agg(*wanted).first()
     return _SourceProfile(
         rows=found.rows or 0,
         repeats=(found.most or 0) > 1,
-        partitions=found.partitions,
-        null_partition=found.null_partitions > 0,
+        partitions=found["values"] if column else [],
+        null_partition=bool(column) and found.nulls > 0,
     )
 
 
@@ -318,13 +327,15 @@ def upsert(
     match: str | None = None,
     insert: bool = True,
     layout: TableLayout = PLAIN,
-    small_source_rows: int = SMALL_SOURCE_ROWS,
+    unique_source: bool = False,
+    small_source: bool | None = None,
 ) -> None:
     """Merge ``source`` into the table (see :func:`merge_rows`), creating it on first use.
 
-    The source is written down once, so that the duplicate check, the partition
-    choice and the merge see the same rows.  In a partitioned table only the
-    partitions the source reaches are read and rewritten.
+    In a partitioned table only the partitions the source reaches are read and
+    rewritten.  ``unique_source`` says that the source holds each key once, which
+    saves the duplicate check.  Whether the source is small next to the target is
+    counted unless ``small_source`` says so.
     """
     spark = source.sparkSession
     if not spark.catalog.tableExists(name):
@@ -335,24 +346,32 @@ def upsert(
     layout = _stored_layout(spark, name)
     if layout.partition_by and layout.partition_by not in keys:
         raise ValueError(f"{name} is partitioned by {layout.partition_by}, which is not a merge key")
-    with staged(source, "upsert") as rows:
-        profile, target = _profile(rows, keys, layout.partition_by), spark.table(name)
-        if layout.partition_by:
-            target = _reached(target, layout.partition_by, profile)
-        if profile.repeats:
-            _require_single_match(target, rows, keys, match)
+    target = spark.table(name)
+
+    def merge(rows: DataFrame, reached: DataFrame, small: bool) -> tuple[str, set[str]]:
         merged = merge_rows(
-            target,
-            rows,
-            keys=keys,
-            update=update,
-            guard=guard,
-            match=match,
-            insert=insert,
-            small_source=not layout.bucket_by and profile.rows <= small_source_rows,
-            bucketed=bool(layout.bucket_by),
+            reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert,
+            small_source=small, bucketed=bool(layout.bucket_by),
         )
-        path, partitions = _write_version(merged, name, layout)
+        return _write_version(merged, name, layout)
+
+    if unique_source and small_source is not None and not layout.partition_by:
+        path, partitions = merge(source, target, small_source)  # nothing to find out first
+    else:
+        # Written down once, so that all jobs below see the same rows.
+        with staged(source, "upsert") as rows:
+            profile = _profile(rows, keys, layout.partition_by, unique_source)
+            if layout.partition_by:
+                target = _reached(target, layout.partition_by, profile)
+            if profile.repeats:
+                _require_single_match(target, rows, keys, match)
+            if small_source is None:
+                small_source = (
+                    not layout.bucket_by
+                    and profile.rows <= SMALL_SOURCE_ROWS
+                    and target.count() >= SMALL_SOURCE_SHARE * profile.rows
+                )
+            path, partitions = merge(rows, target, small_source)
     _publish(spark, name, path, partitions, layout.partition_by is not None)
 
 

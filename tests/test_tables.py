@@ -102,25 +102,25 @@ def test_failed_write_changes_nothing(spark, lake):
 
 
 LAYOUTS = {
-    "plain, small source": (TableLayout(), 10**6),
-    "plain, large source": (TableLayout(), 0),
-    "bucketed": (TableLayout(bucket_by=("k",), buckets=3), 10**6),
-    "partitioned": (TableLayout(partition_by="k"), 10**6),
-    "partitioned, large source": (TableLayout(partition_by="k"), 0),
+    "plain, small source": (TableLayout(), True),
+    "plain, large source": (TableLayout(), False),
+    "bucketed": (TableLayout(bucket_by=("k",), buckets=3), None),
+    "partitioned, small source": (TableLayout(partition_by="k"), True),
+    "partitioned, size counted": (TableLayout(partition_by="k"), None),
 }
 
 
 @pytest.fixture(params=LAYOUTS, ids=list(LAYOUTS))
-def layout_and_limit(request):
+def layout_and_size(request):
     return LAYOUTS[request.param]
 
 
-def run_upserts(spark, name, batches, layout_and_limit, guard=GUARD):
-    layout, limit = layout_and_limit
+def run_upserts(spark, name, batches, layout_and_size, guard=GUARD):
+    layout, small = layout_and_size
     for data in batches:
         upsert(
             frame(spark, data), name, keys=["k"], update=["v", "batch_id"], guard=guard,
-            layout=layout, small_source_rows=limit,
+            layout=layout, small_source=small,
         )
     return rows(spark.table(name), "k", "v", "batch_id")
 
@@ -129,8 +129,8 @@ START = [(1, "old", "2"), (2, "keep", "2"), (3, "null batch", None), (None, "nul
 CHANGE = [(1, "newer", "3"), (4, "new", "3"), (None, "another", "3")]
 
 
-def test_newer_batch_updates_and_inserts(spark, lake, layout_and_limit):
-    got = run_upserts(spark, lake.name("silver", "t"), [START, CHANGE], layout_and_limit)
+def test_newer_batch_updates_and_inserts(spark, lake, layout_and_size):
+    got = run_upserts(spark, lake.name("silver", "t"), [START, CHANGE], layout_and_size)
     assert got == sorted(
         [(1, "newer", "3"), (2, "keep", "2"), (3, "null batch", None), (4, "new", "3"),
          (None, "null key", "2"), (None, "another", "3")],
@@ -154,20 +154,20 @@ def test_guard_cases(spark, lake, source, guarded, unguarded):
         assert [v for k, v, _ in got if k == source[0]] == [expected]
 
 
-def test_null_key_is_inserted_on_every_run(spark, lake, layout_and_limit):
-    got = run_upserts(spark, lake.name("silver", "t"), [START, CHANGE, CHANGE], layout_and_limit)
+def test_null_key_is_inserted_on_every_run(spark, lake, layout_and_size):
+    got = run_upserts(spark, lake.name("silver", "t"), [START, CHANGE, CHANGE], layout_and_size)
     assert [v for k, v, _ in got if k is None] == ["another", "another", "null key"]
     assert len(got) == 7
 
 
-def test_two_source_rows_for_one_target_row_are_an_error(spark, lake, layout_and_limit):
+def test_two_source_rows_for_one_target_row_are_an_error(spark, lake, layout_and_size):
     name = lake.name("silver", "t")
     twice = [(1, "x", "3"), (1, "y", "3")]
     with pytest.raises(ValueError, match="several source rows"):
-        run_upserts(spark, name, [START, twice], layout_and_limit)
+        run_upserts(spark, name, [START, twice], layout_and_size)
     assert rows(spark.table(name), "k", "v", "batch_id") == sorted(START, key=repr)
     new_twice = [(8, "x", "3"), (8, "y", "3"), (None, "n", "3"), (None, "n", "3")]
-    got = run_upserts(spark, name, [new_twice], layout_and_limit)
+    got = run_upserts(spark, name, [new_twice], layout_and_size)
     assert len(got) == len(START) + 4
 
 
@@ -205,6 +205,32 @@ def test_partitioned_upsert_rewrites_only_reached_partitions(spark, lake):
         upsert(frame(spark, [(2, "B", "y")]), name, keys=["v"], update=["batch_id"])
 
 
+def test_size_of_the_source_decides_the_join(spark, lake, monkeypatch):
+    name, chosen = lake.name("silver", "t"), []
+
+    def recording(*args, small_source, **options):
+        chosen.append(small_source)
+        return merge_rows(*args, small_source=small_source, **options)
+
+    monkeypatch.setattr(tables, "merge_rows", recording)
+    overwrite(spark.range(40).selectExpr("cast(id AS int) AS k", "'a' AS v", "'1' AS batch_id"), name)
+    for size in (4, 5):
+        change = [(k, "b", "2") for k in range(size)]
+        upsert(frame(spark, change), name, keys=["k"], update=["v"])
+    assert chosen == [True, False]
+    assert spark.table(name).where("v = 'b'").count() == 5
+
+
+def test_unique_source_skips_staging(spark, lake):
+    name = lake.name("silver", "t")
+    for _ in range(2):
+        upsert(
+            frame(spark, [(1, "a", "1")]), name, keys=["k"], update=["v"], unique_source=True,
+            small_source=False,
+        )
+    assert rows(spark.table(name), "k", "v") == [(1, "a")]
+
+
 def test_merge_needs_its_columns(spark):
     df = frame(spark, [(1, "a", "b")])
     with pytest.raises(ValueError, match="lacks columns"):

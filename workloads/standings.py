@@ -100,14 +100,24 @@ CONSTRUCTOR_STANDINGS_SQL = ranking_sql(SESSIONS_SQL, CONSTRUCTORS_SQL, "constru
 @query(DRIVER_STANDINGS_SQL)
 def driver_standings(spark, sf_dir):
     fact = add_result_flags(session_rows(spark, sf_dir))
-    return standings(fact, drivers(spark, sf_dir), "driver_id", ["driver_name", "nationality"])
+    return standings(
+        fact,
+        drivers(spark, sf_dir),
+        "driver_id",
+        ["driver_name", "nationality"],
+        dimension_rows=load(spark, sf_dir, "customer").count(),
+    )
 
 
 @query(CONSTRUCTOR_STANDINGS_SQL)
 def constructor_standings(spark, sf_dir):
     fact = add_result_flags(constructor_rows(spark, sf_dir))
     return standings(
-        fact, constructors(spark, sf_dir), "constructor_id", ["constructor_name", "nationality"]
+        fact,
+        constructors(spark, sf_dir),
+        "constructor_id",
+        ["constructor_name", "nationality"],
+        dimension_rows=load(spark, sf_dir, "supplier").count(),
     )
 
 

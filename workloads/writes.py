@@ -172,7 +172,13 @@ def upsert_guarded(spark, sf_dir):
 @query(_merged_sql(LATEST_PREFERRED))
 def upsert_guarded_large_source(spark, sf_dir):
     """The same through the full outer join that large sources take."""
-    return _upsert_all(spark, sf_dir, "guarded_large", guard=NOT_OLDER, small_source_rows=0)
+    return _upsert_all(spark, sf_dir, "guarded_large", guard=NOT_OLDER, small_source=False)
+
+
+@query(_merged_sql(LATEST_PREFERRED))
+def upsert_guarded_small_source(spark, sf_dir):
+    """The same through the join that leaves the target in place."""
+    return _upsert_all(spark, sf_dir, "guarded_small", guard=NOT_OLDER, small_source=True)
 
 
 @query(_merged_sql(LATEST_PREFERRED))
