@@ -41,10 +41,14 @@ def tracked(control: DataFrame) -> DataFrame:
     return control.where(F.col("status").isin(IN_PROGRESS, COMPLETED)).select("batch_id").distinct()
 
 
+def untracked(candidates: DataFrame, control: DataFrame) -> DataFrame:
+    """Candidate ids without a tracked control row."""
+    return candidates.join(tracked(control), "batch_id", "left_anti")
+
+
 def first_untracked(candidates: DataFrame, control: DataFrame) -> DataFrame:
     """One row holding the smallest candidate id that is not tracked, or null."""
-    new = candidates.join(tracked(control), "batch_id", "left_anti")
-    return new.agg(F.min("batch_id").alias("batch_id"))
+    return untracked(candidates, control).agg(F.min("batch_id").alias("batch_id"))
 
 
 def next_batch(lake: Lake) -> str | None:

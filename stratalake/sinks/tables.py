@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from stratalake.operators.conform import keys_present
 from stratalake.operators.merge import merge_rows
+from stratalake.session import setting
 from stratalake.storage import delete_folder, list_folders, staged
 
 # An upsert source up to this many rows, and this many times smaller than the target, is
@@ -353,7 +354,11 @@ def upsert(
             reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert,
             small_source=small, bucketed=bool(layout.bucket_by),
         )
-        return _write_version(merged, name, layout)
+        if not layout.bucket_by:
+            return _write_version(merged, name, layout)
+        # The join keys are the bucket columns plus the partition column, if any.
+        with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            return _write_version(merged, name, layout)
 
     if unique_source and small_source is not None and not layout.partition_by:
         path, partitions = merge(source, target, small_source)  # nothing to find out first

@@ -6,6 +6,7 @@ import pytest
 
 from stratalake.plans.datasets import CIRCUITS, RACES, RESULTS
 from stratalake.plans.full_load import audit, load_bronze, load_silver, run_full_load
+from stratalake.plans.views import build_views
 from tests.conftest import rows
 from tests.landing_data import write_landing
 
@@ -86,6 +87,18 @@ def test_loading_again_gives_the_same(loaded):
     assert content() == before
 
 
+def test_views_over_stored_standings_are_the_same(loaded):
+    views = ("v_driver_standing", "v_constructor_standing")
+
+    def content():
+        return [(loaded.table("gold", v).dtypes, rows(loaded.table("gold", v))) for v in views]
+
+    before = content()
+    build_views(loaded, max_rows_per_task=2)
+    assert content() == before
+    assert loaded.spark.catalog.tableExists(loaded.name("gold", "driver_standing"))
+
+
 def test_audit_counts_removed_rows(loaded):
     assert rows(audit(loaded, RESULTS)) == [(12, 4, 1, 5, 7)]
 

@@ -250,6 +250,28 @@ def test_bucketed_merge_does_not_shuffle_the_target(spark, lake):
     assert plan.count("Exchange") == 1, plan
 
 
+def test_partitioned_bucketed_upsert_reads_the_target_in_place(spark, lake, monkeypatch):
+    name, plans = lake.name("gold", "t"), []
+    write = tables._write_version
+
+    def recording(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args)
+
+    layout = TableLayout(partition_by="batch_id", bucket_by=("k",), buckets=4)
+    overwrite(spark.range(400).selectExpr("cast(id AS int) AS k", "'a' AS v", "cast(id % 3 AS string) AS batch_id"), name, layout)
+    monkeypatch.setattr(tables, "_write_version", recording)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        change = frame(spark, [(0, "b", "0"), (1, "c", "0")])
+        upsert(change, name, keys=["k", "batch_id"], update=["v"], unique_source=True)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].count("Exchange") == 1, plans[0]
+    assert spark.table(name).count() == 401
+    assert rows(spark.table(name).where("v <> 'a'"), "k", "v") == [(0, "b"), (1, "c")]
+
+
 def test_prune_removes_only_dead_versions(spark, lake):
     for layout, name in (
         (TableLayout(), lake.name("silver", "plain")),

@@ -113,7 +113,8 @@ def audit_removed_rows(spark, sf_dir):
                concat_ws(' ', nullif(p_type, 'ECONOMY'), nullif(p_brand, 'Brand#4'))), ' '),
                lambda x: upper(x[1]) || x[2:]), ' ') AS part_label
     FROM part
-    """
+    """,
+    name="full_name",
 )
 def full_name_text(spark, sf_dir):
     """Null parts are skipped; nothing left gives an empty string."""

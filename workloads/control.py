@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.functions import stamp_write_times
-from stratalake.plans.control import first_untracked, tracked
+from stratalake.plans.control import first_untracked, tracked, untracked
 from stratalake.sinks import overwrite, upsert
 from workloads.registry import load, new_lake, query
 
@@ -35,6 +35,13 @@ def next_batch(spark, sf_dir):
     return first_untracked(days.select("batch_id"), days)
 
 
+@query(f"SELECT batch_id FROM ({DAYS_SQL}) WHERE status = 'failed'")
+def untracked_batches(spark, sf_dir):
+    """Set difference: all days minus the tracked ones."""
+    days = _days(spark, sf_dir)
+    return untracked(days.select("batch_id"), days)
+
+
 @query(f"SELECT batch_id FROM ({DAYS_SQL}) WHERE status IN ('in_progress', 'completed')")
 def tracked_batches(spark, sf_dir):
     return tracked(_days(spark, sf_dir))

@@ -9,7 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import add_ingestion_metadata, full_name, stamp_batch
+from stratalake.functions import (
+    add_ingestion_metadata,
+    full_name,
+    stamp_batch,
+    stamp_write_times,
+)
 from stratalake.sources import batch_path, landing_batches, read_csv, read_json
 from stratalake.storage import scratch_dir
 from workloads.registry import load, query
@@ -128,3 +133,24 @@ def batch_folder_scan(spark, sf_dir):
         for name in landing_batches(spark, landing)
     ]
     return reduce(DataFrame.unionByName, scans)
+
+
+@query(
+    """
+    SELECT o_orderpriority, 'orders.json' AS source_folder, '2025-01' AS batch_id,
+           count(*) AS orders, count(*) AS stamped, 1::BIGINT AS load_times, count(*) AS same_times
+    FROM orders GROUP BY ALL
+    """
+)
+def lineage_columns(spark, sf_dir):
+    """Source file, batch and times are set on every row; the times are one per query."""
+    path = f"{scratch_dir(spark, 'lineage')}/orders.json"
+    _orders(spark, sf_dir).write.json(path)
+    scan = add_ingestion_metadata(read_json(spark, path, ORDER_COLUMNS))
+    rows = stamp_write_times(stamp_batch(scan, "2025-01"))
+    return rows.groupBy("o_orderpriority", _source_folder(), "batch_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.count("ingestion_timestamp").alias("stamped"),
+        F.count_distinct("ingestion_timestamp").alias("load_times"),
+        F.count_if(F.col("created_timestamp") == F.col("updated_timestamp")).alias("same_times"),
+    )

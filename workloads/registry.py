@@ -16,17 +16,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None):
-    """Register a query under its function name, with the SQL it must agree with."""
+def query(sql: str | None, name: str | None = None):
+    """Register a query (under its function name), with the SQL it must agree with."""
 
     def register(function):
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return function(configure(spark), sf_dir)
 
-        QUERIES[function.__name__] = run
+        key = name or function.__name__
+        QUERIES[key] = run
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return run
 
     return register

@@ -328,7 +328,8 @@ def literal_lookup(spark, sf_dir):
            array_to_string(list_transform(string_split(lower(c_name || ' OF ' || c_mktsegment), ' '),
                lambda x: upper(x[1]) || x[2:]), ' ') AS customer
     FROM orders JOIN customer ON o_custkey = c_custkey
-    """
+    """,
+    name="title_case",
 )
 def title_case_text(spark, sf_dir):
     rows = join_sides(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import stamp_write_times
 from stratalake.operators import first_per_key
-from stratalake.plans.incremental import NOT_OLDER
+from stratalake.plans.incremental import NOT_OLDER, of_batch
 from stratalake.sinks import TableLayout, append, delete_all, overwrite, replace_partition, upsert
 from workloads.registry import load, new_lake, query
 
@@ -48,7 +48,9 @@ def overwrite_table(spark, sf_dir):
     return spark.table(name)
 
 
-@query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier")
+@query(
+    "SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier", name="delete_all"
+)
 def delete_all_rows(spark, sf_dir):
     """Emptied, then usable again."""
     lake = new_lake(spark, "delete")
@@ -86,7 +88,8 @@ def _replace_1997(spark, sf_dir, label: str, rows) -> DataFrame:
     SELECT * FROM ({YEARS_SQL}) WHERE batch_id <> '1997'
     UNION ALL
     SELECT o_orderkey, o_totalprice * 2, '1997' FROM ({YEARS_SQL}) WHERE batch_id IN ('1997', '1998')
-    """
+    """,
+    name="replace_partition",
 )
 def replace_batch_partition(spark, sf_dir):
     """The batch is loaded again with other rows; the other batches stay."""
@@ -100,7 +103,9 @@ def replace_batch_partition(spark, sf_dir):
     )
 
 
-@query(f"SELECT * FROM ({YEARS_SQL}) WHERE batch_id <> '1997'")
+@query(
+    f"SELECT * FROM ({YEARS_SQL}) WHERE batch_id <> '1997'", name="replace_partition_empty"
+)
 def replace_batch_partition_empty(spark, sf_dir):
     """A batch without rows empties its partition."""
     return _replace_1997(
@@ -108,6 +113,14 @@ def replace_batch_partition_empty(spark, sf_dir):
     )
 
 
+@query(f"SELECT * FROM ({YEARS_SQL}) WHERE batch_id = '1997'")
+def batch_filter(spark, sf_dir):
+    """One batch of a table partitioned by batch: only its partition is read."""
+    name = new_lake(spark, "batch_filter").name("bronze", "orders")
+    overwrite(_orders_by_year(spark, sf_dir), name, BY_BATCH)
+    return of_batch(spark.table(name), "1997")
+
+
 # -- upserts: the last event of every user per batch of ten days ---------------------------
 
 BATCHES_SQL = """
