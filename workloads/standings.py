@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions import add_result_flags, title_case
-from stratalake.operators import join_sides, rank_spread, season_totals, standings, union_labelled
+from stratalake.operators import join_sides, standings, union_labelled
 from stratalake.plans.views import standings_sql
 from stratalake.sinks import create_view
 from workloads.registry import load, new_lake, query
@@ -36,25 +36,31 @@ def constructor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _named(people: DataFrame, nations: DataFrame, key: str, name: str, out: str) -> DataFrame:
-    nation_key = next(c for c in people.columns if c.endswith("_nationkey"))
-    return join_sides(
-        people,
-        nations,
-        {nation_key: "n_nationkey"},
-        {f"{out}_id": f"left.{key}", f"{out}_name": f"left.{name}", "nationality": "right.n_name"},
-        how="left",
+def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS driver_id", "c_name AS driver_name", "c_nationkey AS nation_key"
     )
 
 
-def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = load(spark, sf_dir, "nation")
-    return _named(load(spark, sf_dir, "customer"), nations, "c_custkey", "c_name", "driver")
+def constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS constructor_id", "s_name AS constructor_name", "s_nationkey AS nation_key"
+    )
 
 
-def constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_nationality(spark: SparkSession, sf_dir: str, ranked: DataFrame) -> DataFrame:
+    """Replace the nation key by the nation's name, last, when few rows are left."""
+    output = {
+        "nationality" if name == "nation_key" else name: f"left.{name}" for name in ranked.columns
+    }
     nations = load(spark, sf_dir, "nation")
-    return _named(load(spark, sf_dir, "supplier"), nations, "s_suppkey", "s_name", "constructor")
+    return join_sides(
+        ranked,
+        nations,
+        {"nation_key": "n_nationkey"},
+        output | {"nationality": "right.n_name"},
+        how="left",
+    )
 
 
 SESSIONS_SQL = """
@@ -100,39 +106,30 @@ CONSTRUCTOR_STANDINGS_SQL = ranking_sql(SESSIONS_SQL, CONSTRUCTORS_SQL, "constru
 @query(DRIVER_STANDINGS_SQL)
 def driver_standings(spark, sf_dir):
     fact = add_result_flags(session_rows(spark, sf_dir))
-    return standings(
-        fact,
-        drivers(spark, sf_dir),
-        "driver_id",
-        ["driver_name", "nationality"],
-        dimension_rows=load(spark, sf_dir, "customer").count(),
-    )
+    ranked = standings(fact, drivers(spark, sf_dir), "driver_id", ["driver_name", "nation_key"])
+    return with_nationality(spark, sf_dir, ranked)
 
 
 @query(CONSTRUCTOR_STANDINGS_SQL)
 def constructor_standings(spark, sf_dir):
     fact = add_result_flags(constructor_rows(spark, sf_dir))
-    return standings(
-        fact,
-        constructors(spark, sf_dir),
-        "constructor_id",
-        ["constructor_name", "nationality"],
-        dimension_rows=load(spark, sf_dir, "supplier").count(),
-    )
+    teams = constructors(spark, sf_dir)
+    ranked = standings(fact, teams, "constructor_id", ["constructor_name", "nation_key"])
+    return with_nationality(spark, sf_dir, ranked)
 
 
 @query(DRIVER_STANDINGS_SQL)
 def driver_standings_spread(spark, sf_dir):
     """The ranking that is used when a season has too many entities for one task."""
     fact = add_result_flags(session_rows(spark, sf_dir))
-    totals = season_totals(
-        fact, drivers(spark, sf_dir), "driver_id", ["driver_name", "nationality"]
-    )
-    ranked = rank_spread(totals, ["season"], ["total_points", "number_of_wins"], "standing")
-    return ranked.select(
-        "season", "driver_id", "driver_name", "nationality", "standing",
-        "race_starts", "total_points", "number_of_wins", "number_of_podiums",
+    ranked = standings(
+        fact,
+        drivers(spark, sf_dir),
+        "driver_id",
+        ["driver_name", "nation_key"],
+        max_rows_per_task=0,
     )
+    return with_nationality(spark, sf_dir, ranked)
 
 
 @query(ranking_sql(SESSIONS_SQL, CONSTRUCTORS_SQL, "constructor", "WHERE season = 1998"))
