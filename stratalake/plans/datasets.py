@@ -12,8 +12,8 @@ from stratalake.sinks.tables import PLAIN, TableLayout
 class Dataset:
     """One landing dataset and its silver table.
 
-    ``landing`` is the file or folder name; ``update`` lists the silver columns an
-    upsert refreshes besides the lineage columns.
+    ``landing`` is the file or folder name, or a glob for either; ``update`` lists the
+    silver columns an upsert refreshes besides the lineage columns.
     """
 
     name: str
@@ -132,7 +132,7 @@ DRIVERS = Dataset(
 
 RESULTS = Dataset(
     name="results",
-    landing="results",
+    landing="{results,results.json}",
     format="json",
     schema=_SESSION_SCHEMA,
     spec=_SESSION_SPEC,
@@ -142,7 +142,7 @@ RESULTS = Dataset(
 
 SPRINTS = Dataset(
     name="sprints",
-    landing="sprints",
+    landing="{sprints,sprints.json}",
     format="json-document",
     schema=_SESSION_SCHEMA,
     spec=_SESSION_SPEC,

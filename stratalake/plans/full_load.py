@@ -7,15 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from stratalake.operators.conform import conform
+from stratalake.operators.conform import conform, shape
 from stratalake.operators.quality import removed_rows
-from stratalake.operators.conform import shape
 from stratalake.plans.datasets import DATASETS, Dataset
 from stratalake.plans.lake import Lake
 from stratalake.plans.stages import (
     constructors_dimension,
     drivers_dimension,
     nationality_regions,
+    of_batch,
     races_dimension,
     scan_landing,
     session_results_fact,
@@ -45,9 +45,12 @@ def load_silver(
     overwrite(clean, lake.name("silver", dataset.name), dataset.layout)
 
 
-def audit(lake: Lake, dataset: Dataset) -> DataFrame:
-    """How many bronze rows cleaning removes, and why."""
-    return removed_rows(shape(lake.table("bronze", dataset.name), dataset.spec), dataset.spec.keys)
+def audit(lake: Lake, dataset: Dataset, batch_id: str | None = None) -> DataFrame:
+    """How many bronze rows, of one batch or in all, cleaning removes and why."""
+    bronze = lake.table("bronze", dataset.name)
+    if batch_id is not None:
+        bronze = of_batch(bronze, batch_id)
+    return removed_rows(shape(bronze, dataset.spec), dataset.spec.keys)
 
 
 def load_lookup(lake: Lake) -> None:

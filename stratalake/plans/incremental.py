@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stratalake.functions.lineage import BATCH_ID, LINEAGE_COLUMNS, UPDATED_AT, stamp_write_times
 from stratalake.operators.conform import conform
@@ -14,6 +13,7 @@ from stratalake.plans.lake import Lake
 from stratalake.plans.stages import (
     constructors_dimension,
     drivers_dimension,
+    of_batch,
     races_dimension,
     scan_landing,
     session_results_fact,
@@ -26,10 +26,6 @@ from stratalake.sources.landing import batch_path, valid_batch_id
 NOT_OLDER = f"s.{BATCH_ID} >= t.{BATCH_ID}"
 
 
-def of_batch(rows: DataFrame, batch_id: str) -> DataFrame:
-    return rows.where(F.col(BATCH_ID) == F.lit(batch_id))
-
-
 def write_silver(
     rows: DataFrame, name: str, keys: tuple[str, ...], update: tuple[str, ...],
     layout: TableLayout = PLAIN,

@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.flags import add_result_flags
-from stratalake.functions.lineage import BATCH_ID, LINEAGE_COLUMNS, WRITE_TIME_COLUMNS
-from stratalake.functions.lineage import add_ingestion_metadata
+from stratalake.functions.lineage import (
+    BATCH_ID,
+    LINEAGE_COLUMNS,
+    WRITE_TIME_COLUMNS,
+    add_ingestion_metadata,
+)
 from stratalake.operators.star import join_sides, union_labelled
 from stratalake.plans.datasets import (
     NATIONALITIES_BY_REGION,
@@ -31,6 +35,10 @@ def scan_landing(
     return add_ingestion_metadata(rows)
 
 
+def of_batch(rows: DataFrame, batch_id: str) -> DataFrame:
+    return rows.where(F.col(BATCH_ID) == F.lit(batch_id))
+
+
 def nationality_regions(spark: SparkSession) -> DataFrame:
     """The nationality look-up as a literal relation."""
     rows = [(n, region) for region, names in NATIONALITIES_BY_REGION.items() for n in names]

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 import pytest
 
-from stratalake.plans.datasets import CIRCUITS, RACES, RESULTS
+from stratalake.plans.datasets import CIRCUITS, RACES, RESULTS, SPRINTS
 from stratalake.plans.full_load import audit, load_bronze, load_silver, run_full_load
 from stratalake.plans.views import build_views
 from tests.conftest import rows
+from tests.landing_data import RESULTS as RESULT_ROWS
+from tests.landing_data import SPRINTS as SPRINT_ROWS
 from tests.landing_data import write_landing
 
 
@@ -121,3 +124,15 @@ def test_bad_cell_fails_bronze_and_leaves_no_table(lake):
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
         load_bronze(lake, CIRCUITS)
     assert not lake.spark.catalog.tableExists(lake.name("bronze", "circuits"))
+
+
+def test_sessions_may_come_as_one_file(lake):
+    folder = Path(lake.landing)
+    folder.mkdir(parents=True)
+    (folder / "results.json").write_text(json.dumps(RESULT_ROWS[0]) + "\n")
+    (folder / "sprints.json").write_text(json.dumps(SPRINT_ROWS, indent=2))
+    load_bronze(lake, RESULTS)
+    load_bronze(lake, SPRINTS)
+    assert lake.table("bronze", "results").count() == 1
+    assert lake.table("bronze", "sprints").count() == 2
+    assert dict(lake.table("bronze", "sprints").dtypes)["date"] == "date"

@@ -7,6 +7,8 @@ import pytest
 from stratalake.plans import control
 from stratalake.plans.incremental import load_bronze_batch, load_gold_batch, run_batch, run_next
 from stratalake.plans.datasets import RACES
+from stratalake.plans.datasets import RESULTS as RESULTS_DATASET
+from stratalake.plans.full_load import audit
 from tests.conftest import rows
 from tests.landing_data import DRIVERS, RESULTS, session, write_landing
 
@@ -79,6 +81,8 @@ def test_three_batches_then_an_old_one_again(lake):
         bad = lake.table("silver", table).where("created_timestamp > updated_timestamp")
         assert bad.count() == 0
     assert lake.table("bronze", "results").groupBy("batch_id").count().count() == 3
+    assert rows(audit(lake, RESULTS_DATASET, "2025-01")) == [(12, 4, 1, 5, 7)]
+    assert rows(audit(lake, RESULTS_DATASET, "2025-02")) == [(1, 0, 0, 0, 1)]
 
 
 def test_both_scope_loses_a_race_at_an_unsent_circuit(lake):

@@ -231,6 +231,19 @@ def test_unique_source_skips_staging(spark, lake):
     assert rows(spark.table(name), "k", "v") == [(1, "a")]
 
 
+def test_append_after_partition_moves(spark, lake):
+    """Appended rows join the current version of a partition, and new partitions work."""
+    name = lake.name("gold", "t")
+    overwrite(frame(spark, [(1, "a", "x"), (2, "b", "x")]), name, TableLayout(partition_by="k"))
+    upsert(frame(spark, [(2, "B", "x")]), name, keys=["k"], update=["v"])
+    append(frame(spark, [(2, "more", "x"), (3, "new", "x")]), name)
+    assert rows(spark.table(name), "k", "v") == [(1, "a"), (2, "B"), (2, "more"), (3, "new")]
+    upsert(frame(spark, [(3, "NEW", "x")]), name, keys=["k"], update=["v"])
+    assert rows(spark.table(name), "k", "v") == [(1, "a"), (2, "B"), (2, "more"), (3, "NEW")]
+    delete_all(spark, name)
+    assert rows(spark.table(name)) == []
+
+
 def test_merge_needs_its_columns(spark):
     df = frame(spark, [(1, "a", "b")])
     with pytest.raises(ValueError, match="lacks columns"):

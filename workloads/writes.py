@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import stamp_write_times
 from stratalake.operators import first_per_key
-from stratalake.plans.incremental import NOT_OLDER, of_batch
+from stratalake.plans.incremental import NOT_OLDER
+from stratalake.plans.stages import of_batch
 from stratalake.sinks import TableLayout, append, delete_all, overwrite, replace_partition, upsert
 from workloads.registry import load, new_lake, query
 
