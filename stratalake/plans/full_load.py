@@ -21,11 +21,15 @@ from stratalake.plans.stages import (
     session_results_fact,
 )
 from stratalake.plans.views import build_views
-from stratalake.sinks.tables import TableLayout, overwrite
+from stratalake.sinks.tables import PLAIN, TableLayout, overwrite
 
 FACT_LAYOUT = TableLayout(partition_by="season")
 
 
+def gold_layout(lake: Lake, table: str) -> TableLayout:
+    return lake.layout("gold", table, FACT_LAYOUT if table.startswith("fact") else PLAIN)
+
+
 def together(step: Callable, items: Iterable) -> None:
     """Run independent table builds at the same time in one Spark application."""
     with ThreadPoolExecutor() as pool:
@@ -42,7 +46,8 @@ def load_silver(
 ) -> None:
     bronze = lake.table("bronze", dataset.name)
     clean = conform(bronze, dataset.spec, strict_keys=strict_keys, arbitrary=arbitrary)
-    overwrite(clean, lake.name("silver", dataset.name), dataset.layout)
+    layout = lake.layout("silver", dataset.name, dataset.layout)
+    overwrite(clean, lake.name("silver", dataset.name), layout)
 
 
 def audit(lake: Lake, dataset: Dataset, batch_id: str | None = None) -> DataFrame:
@@ -77,8 +82,7 @@ def load_gold(lake: Lake) -> None:
     tables = _gold_tables(lake)
 
     def build(table: str) -> None:
-        layout = FACT_LAYOUT if table.startswith("fact") else TableLayout()
-        overwrite(tables[table](), lake.name("gold", table), layout)
+        overwrite(tables[table](), lake.name("gold", table), gold_layout(lake, table))
 
     together(build, tables)
 

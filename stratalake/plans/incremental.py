@@ -8,7 +8,7 @@ from stratalake.functions.lineage import BATCH_ID, LINEAGE_COLUMNS, UPDATED_AT,
 from stratalake.operators.conform import conform
 from stratalake.plans import control
 from stratalake.plans.datasets import DATASETS, FACT_KEYS, FACT_UPDATE, Dataset
-from stratalake.plans.full_load import FACT_LAYOUT, load_lookup, together
+from stratalake.plans.full_load import gold_layout, load_lookup, together
 from stratalake.plans.lake import Lake
 from stratalake.plans.stages import (
     constructors_dimension,
@@ -68,7 +68,7 @@ def load_silver_batch(
         lake.name("silver", dataset.name),
         dataset.spec.keys,
         dataset.update,
-        dataset.layout,
+        lake.layout("silver", dataset.name, dataset.layout),
     )
 
 
@@ -121,8 +121,7 @@ def load_gold_batch(
 
     def build(item: tuple) -> None:
         table, rows, keys, update = item
-        layout = FACT_LAYOUT if table.startswith("fact") else PLAIN
-        write_gold(rows, lake.name("gold", table), keys, update, layout)
+        write_gold(rows, lake.name("gold", table), keys, update, gold_layout(lake, table))
 
     together(build, builds)
 

@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.sinks.tables import ensure_schema
+from stratalake.sinks.tables import PLAIN, TableLayout, ensure_schema
 
 TIERS = ("bronze", "silver", "gold", "control")
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Schemas are named ``<prefix><tier>``; with ``location`` each gets a folder below it."""
+    """Schemas are named ``<prefix><tier>``; with ``location`` each gets a folder below it.
+
+    ``layouts`` gives silver and gold tables, named like ``"silver.drivers"``, another
+    physical layout than the default when they are created: a very large table is
+    best bucketed by its key.
+    """
 
     spark: SparkSession
     landing: str
     prefix: str = ""
     location: str | None = None
     catalog: str = "spark_catalog"
+    layouts: Mapping[str, TableLayout] = field(default_factory=dict)
 
     def schema(self, tier: str) -> str:
         return f"{self.catalog}.{self.prefix}{tier}"
@@ -30,6 +37,9 @@ class Lake:
     def table(self, tier: str, table: str) -> DataFrame:
         return self.spark.table(self.name(tier, table))
 
+    def layout(self, tier: str, table: str, default: TableLayout = PLAIN) -> TableLayout:
+        return self.layouts.get(f"{tier}.{table}", default)
+
     @property
     def control_table(self) -> str:
         return self.name("control", "batch_control")

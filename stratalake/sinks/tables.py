@@ -29,6 +29,9 @@ from stratalake.storage import delete_folder, list_folders, staged
 # merged without moving the target.
 SMALL_SOURCE_ROWS = 1_000_000
 SMALL_SOURCE_SHARE = 10
+# An upsert that reaches more partitions than this rearranges its rows by partition before
+# writing; otherwise every task would write a small file into each of them.
+PARTITIONS_PER_WRITING_TASK = 4
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Values Spark writes into folder names as they are.
 _PLAIN_VALUE = re.compile(r"[A-Za-z0-9_. -]+")
@@ -349,12 +352,16 @@ def upsert(
         raise ValueError(f"{name} is partitioned by {layout.partition_by}, which is not a merge key")
     target = spark.table(name)
 
-    def merge(rows: DataFrame, reached: DataFrame, small: bool) -> tuple[str, set[str]]:
+    def merge(
+        rows: DataFrame, reached: DataFrame, small: bool, partitions: int = 0
+    ) -> tuple[str, set[str]]:
         merged = merge_rows(
             reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert,
             small_source=small, bucketed=bool(layout.bucket_by),
         )
         if not layout.bucket_by:
+            if partitions > PARTITIONS_PER_WRITING_TASK:
+                merged = _clustered(merged, layout)
             return _write_version(merged, name, layout)
         # The join keys are the bucket columns plus the partition column, if any.
         with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
@@ -376,7 +383,7 @@ def upsert(
                     and profile.rows <= SMALL_SOURCE_ROWS
                     and target.count() >= SMALL_SOURCE_SHARE * profile.rows
                 )
-            path, partitions = merge(rows, target, small_source)
+            path, partitions = merge(rows, target, small_source, len(profile.partitions))
     _publish(spark, name, path, partitions, layout.partition_by is not None)
 
 

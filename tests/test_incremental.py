@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,8 @@ from stratalake.plans.incremental import load_bronze_batch, load_gold_batch, run
 from stratalake.plans.datasets import RACES
 from stratalake.plans.datasets import RESULTS as RESULTS_DATASET
 from stratalake.plans.full_load import audit
+from stratalake.sinks import TableLayout
+from stratalake.sinks.tables import _stored_layout
 from tests.conftest import rows
 from tests.landing_data import DRIVERS, RESULTS, session, write_landing
 
@@ -177,3 +180,29 @@ def test_a_failed_batch_stays_in_progress_and_can_be_repeated(lake):
     run_batch(lake, "2025-01")
     assert control_rows(lake) == [("2025-01", "completed")]
     assert lake.table("gold", "fact_session_results").count() == 9
+
+
+def test_other_layouts_give_the_same_gold(lake):
+    batches(lake)
+    while run_next(lake):
+        pass
+    expected = gold(lake)
+    bucketed = replace(
+        lake,
+        prefix=lake.prefix + "b_",
+        location=lake.location + "_b",
+        layouts={
+            "silver.drivers": TableLayout(bucket_by=("driver_id",), buckets=3),
+            "silver.results": TableLayout(),
+            "gold.fact_session_results": TableLayout("season", ("driver_id", "round"), 2),
+        },
+    )
+    while run_next(bucketed):
+        pass
+    layout = _stored_layout(lake.spark, bucketed.name("gold", "fact_session_results"))
+    assert layout == bucketed.layouts["gold.fact_session_results"]
+
+    def by_name(tables):
+        return {name: sorted(data, key=repr) for name, data in tables.items()}
+
+    assert by_name(gold(bucketed)) == by_name(expected)

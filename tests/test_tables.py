@@ -244,6 +244,19 @@ def test_append_after_partition_moves(spark, lake):
     assert rows(spark.table(name)) == []
 
 
+def test_upsert_reaching_many_partitions_writes_few_files(spark, lake):
+    name = lake.name("gold", "t")
+    ids = spark.range(600).selectExpr("cast(id % 6 AS int) AS k", "cast(id AS string) AS v", "'1' AS batch_id")
+    overwrite(ids, name, TableLayout(partition_by="k"))
+    upsert(
+        ids.withColumn("batch_id", F.lit("2")), name, keys=["k", "v"], update=["batch_id"],
+        unique_source=True,
+    )
+    table = spark.table(name)
+    assert table.where("batch_id = '2'").count() == 600
+    assert len(table.inputFiles()) == 6
+
+
 def test_merge_needs_its_columns(spark):
     df = frame(spark, [(1, "a", "b")])
     with pytest.raises(ValueError, match="lacks columns"):

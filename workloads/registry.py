@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from stratalake.plans.lake import Lake
 from stratalake.session import configure
@@ -33,8 +34,15 @@ def query(sql: str | None, name: str | None = None):
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table.  Its schema is read once per process: each look is a Spark job."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def new_lake(spark: SparkSession, label: str) -> Lake:

@@ -172,6 +172,7 @@ def _upsert_all(spark, sf_dir, label: str, order=LATE_ORDER, **options) -> DataF
             name,
             keys=["user_id"],
             update=[*UPDATED, "updated_timestamp"],
+            unique_source=True,
             **options,
         )
     return spark.table(name).drop("created_timestamp", "updated_timestamp")
