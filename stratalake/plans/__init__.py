@@ -1,0 +1 @@
+"""Whole loads of the racing datasets: specs, full load, incremental load, control, views."""

@@ -63,6 +63,6 @@ def test_specs_name_existing_columns(spark):
         assert {*dataset.spec.keys, *dataset.update} == set(clean.columns), dataset.name
 
 
-def test_reference_null_checks():
+def test_which_datasets_check_keys_when_relaxed():
     assert CIRCUITS.spec.checked_keys and RESULTS.spec.checked_keys
     assert not RACES.spec.checked_keys and not DRIVERS.spec.checked_keys
