@@ -8,6 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import compare, connect
+from workloads import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
@@ -19,13 +20,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name) == ""
