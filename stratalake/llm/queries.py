@@ -5,16 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, odd_sketch
-from stratalake.llm.common import table
+from stratalake.llm import decontam, langid, odd_sketch, quality_crf, toxicity
+from stratalake.llm.common import fold, table
 from stratalake.llm.shard import shard
 
 
+def _held_out(modulus: int, remainder: int):
+    """True for documents no label was learned from; a null doc_id has none to learn from."""
+    return F.coalesce(fold("doc_id", modulus) == remainder, F.lit(False)).alias("held_out")
+
+
 def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.train(docs.where(fold("doc_id", 4) != 2))
+    return langid.predict(docs, net).select(
+        "doc_id", _held_out(4, 2), "lang_pred", "score"
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -25,8 +39,33 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_crf.train(
+        docs, table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    )
+    return quality_crf.score(docs, model).select(
+        "doc_id", _held_out(3, 1), "score", "predicted"
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    return toxicity.score(docs, index).select(
+        "doc_id", _held_out(5, 0), "score", "predicted", "evidence"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_odd_sketch_dedup, op6_decontaminate, op7_histogram_shards)
+    f.__name__: f for f in (
+        op4_odd_sketch_dedup,
+        op5_language,
+        op6_decontaminate,
+        op7_histogram_shards,
+        op9_quality,
+        op10_toxicity,
+    )
 }
 ORACLES: dict[str, str] = {
     "op4_odd_sketch_dedup": odd_sketch.SQL,
