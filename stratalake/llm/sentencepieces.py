@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -118,9 +117,13 @@ class Vocabulary:
         return self.flat[start + np.arange(len(start))]
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(proto: bytes, alpha: float) -> Vocabulary:
-    return Vocabulary(proto, alpha)
+    """Made once per Python worker: kept with the tokenizer's module, which its tasks share."""
+    kept = vars(sentencepiece).setdefault("_kept_vocabularies", {})
+    key = (zlib.crc32(proto), alpha)
+    if key not in kept:
+        kept[key] = Vocabulary(proto, alpha)
+    return kept[key]
 
 
 class Lattice:
