@@ -256,3 +256,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double").select(
         "doc_id", F.col("score"), (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def keep_good(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text is predicted good, all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            good = model.documents(read_lines(batch.column("text"))) >= 0.5
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

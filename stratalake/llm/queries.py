@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, langid, odd_sketch, quality_crf, toxicity
+from stratalake.llm import (
+    decontam,
+    html_extract,
+    langid,
+    odd_sketch,
+    quality_crf,
+    semicrf,
+    sentencepieces,
+    spann,
+    toxicity,
+)
 from stratalake.llm.common import fold, table
 from stratalake.llm.shard import shard
 
@@ -17,6 +27,18 @@ def _held_out(modulus: int, remainder: int):
     return F.coalesce(fold("doc_id", modulus) == remainder, F.lit(False)).alias("held_out")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semicrf.find(table(spark, sf_dir, "documents"))
+
+
 def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4)
 
@@ -39,6 +61,10 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_crf.train(
@@ -59,10 +85,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_html_text,
+        op2_nearest,
+        op3_personal_data,
         op4_odd_sketch_dedup,
         op5_language,
         op6_decontaminate,
         op7_histogram_shards,
+        op8_sentencepieces,
         op9_quality,
         op10_toxicity,
     )
