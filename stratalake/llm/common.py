@@ -7,6 +7,7 @@ over the words of a text.  Hashes are 64 bits wide and do not depend on how rows
 from __future__ import annotations
 
 import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -90,17 +91,26 @@ SPACES = byte_set((0x20, 0x20), (0x09, 0x0D))
 NOT_ALNUM = byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))  # of lower-cased ASCII
 _BYTE = numbers(11, 256)
 _BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+def process_cache() -> dict:
+    """A dict that lives as long as the Python process and is never sent to tasks."""
+    name = "_stratalake_process_cache"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` or more powers of an odd number and of its inverse, modulo 2**64."""
+    kept = process_cache().get("powers")
+    if kept is None or len(kept[0]) < n:
+        size = 1 << max(20, int(n - 1).bit_length())
+        kept = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             steps = np.full(size, base, U64)
             steps[0] = 1
-            _POWERS[i] = np.cumprod(steps)
-    return _POWERS[0], _POWERS[1]
+            kept.append(np.cumprod(steps))
+        process_cache()["powers"] = kept
+    return kept[0], kept[1]
 
 
 @dataclass
@@ -132,7 +142,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Word
     edge[offsets] = True
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    power, inverse = _powers(n + 1)
+    power, inverse = powers(n + 1)
     total = np.zeros(n + 1, U64)
     np.cumsum(_BYTE[low] * power[:n], out=total[1:])
     value = (total[end] - total[start]) * inverse[start]

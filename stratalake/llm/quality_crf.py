@@ -51,7 +51,7 @@ CLASS = _byte_classes()
 RATIO_EDGES = np.array([1e-9, 0.01, 0.03, 0.08, 0.15, 0.3, 0.6])
 SIZE_EDGES = np.array([4.0, 16, 40, 100, 250, 700, 2000])
 WORD_EDGES = np.array([1.0, 2.5, 3.5, 4.5, 5.5, 7.0, 10.0])
-BINS = 8
+BINS, KINDS = 8, 11
 
 
 @dataclass
@@ -71,7 +71,7 @@ def read_lines(column: pa.Array) -> Lines:
     begins[1:][data == 10] = True
     start = np.flatnonzero(begins[:n])
     if not len(start):
-        return Lines(np.zeros(0), np.zeros((0, 11), np.int64), np.zeros(len(offsets), np.int64))
+        return Lines(np.zeros(0), np.zeros((0, KINDS), np.int64), np.zeros(len(offsets), np.int64))
     end = np.append(start[1:], n)
     line = np.repeat(np.arange(len(start)), end - start)
     kinds = np.bincount(line * _CLASSES + CLASS[data], minlength=len(start) * _CLASSES)
@@ -183,9 +183,8 @@ class Model:
         return 1 / (1 + np.exp(-(self.slope * _logit(share) + self.offset)))
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
+def fit(lines: Lines, labels: list[int]) -> Model:
     """Maximum likelihood by gradient steps with per-weight scaling; a weak pull to zero."""
-    lines = read_lines(pa.array(texts, pa.string()))
     active = _features(lines)
     count = np.diff(lines.first)
     label = np.asarray(labels, float)
@@ -228,14 +227,38 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         "doc_id",
         sample,
     )
+    # Tasks read the lines; only their sizes and bins come to the driver.
     rows = (
         docs.select("doc_id", "text")
         .where("text is not null")
         .join(chosen, "doc_id")
-        .orderBy("doc_id", "text")
+        .select(F.xxhash64("doc_id", "text").alias("_order"), "text", F.col("quality").cast("long"))
+        .mapInArrow(_read, "_order long, quality long, size binary, bins binary")
         .collect()
     )
-    return fit([r["text"] for r in rows], [int(r["quality"]) for r in rows])
+    rows.sort(key=lambda r: (r["_order"], r["quality"]))
+    size = [np.frombuffer(r["size"]) for r in rows]
+    lines = Lines(
+        np.concatenate([np.zeros(0), *size]),
+        np.frombuffer(b"".join(r["bins"] for r in rows), np.uint8).reshape(-1, KINDS).astype(np.int64),
+        np.concatenate([[0], np.cumsum([len(x) for x in size])]).astype(np.int64),
+    )
+    return fit(lines, [int(r["quality"]) for r in rows])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        lines = read_lines(batch.column("text"))
+        runs = list(zip(lines.first[:-1], lines.first[1:], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("_order"),
+                batch.column("quality"),
+                pa.array([lines.size[a:b].tobytes() for a, b in runs], pa.binary()),
+                pa.array([lines.bins[a:b].astype(np.uint8).tobytes() for a, b in runs], pa.binary()),
+            ],
+            ["_order", "quality", "size", "bins"],
+        )
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import U64, mix, numbers, ship, slices, text_bytes
+from stratalake.llm.common import U64, mix, numbers, powers, process_cache, ship, slices, text_bytes
 
 ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -118,9 +118,9 @@ class Vocabulary:
 
 
 def _vocabulary(proto: bytes, alpha: float) -> Vocabulary:
-    """Made once per Python worker: kept with the tokenizer's module, which its tasks share."""
-    kept = vars(sentencepiece).setdefault("_kept_vocabularies", {})
-    key = (zlib.crc32(proto), alpha)
+    """Made once per Python worker."""
+    kept = process_cache()
+    key = f"vocabulary {zlib.crc32(proto)} {alpha}"
     if key not in kept:
         kept[key] = Vocabulary(proto, alpha)
     return kept[key]
@@ -420,7 +420,7 @@ def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
             text, row_cut, begin, end, first = units_of(data, offsets)
             seed = mix(batch.column("_seed").to_numpy().view(U64))
             # Distinct units by a 64-bit hash of their bytes.
-            power = _hash_powers(len(text) + 1)
+            power = powers(len(text) + 1)
             run_hash = np.zeros(len(text) + 1, U64)
             np.cumsum(_BYTES[text] * power[0][: len(text)], out=run_hash[1:])
             key = mix((run_hash[end] - run_hash[begin]) * power[1][begin] + (end - begin).astype(U64) * U64(31))
@@ -470,17 +470,6 @@ def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
 
 
 _BYTES = numbers(31, 256)
-_HASH: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def _hash_powers(n: int) -> list[np.ndarray]:
-    if len(_HASH[0]) < n:
-        base = 0xBF58476D1CE4E5B9
-        for i, b in enumerate((base, pow(base, -1, 1 << 64))):
-            steps = np.full(1 << int(n - 1).bit_length(), b, U64)
-            steps[0] = 1
-            _HASH[i] = np.cumprod(steps)
-    return _HASH
 
 
 def _runs(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
