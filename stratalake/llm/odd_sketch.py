@@ -7,9 +7,12 @@
    The population count of the XOR of two sketches estimates how many samples differ.
 3. First round: every form of a bucket is held against the bucket's smallest form only.
    Second round: in buckets that still hold several components, every pair of different
-   components is held against each other.  Pairs inside one component are never listed, so a
-   bucket with thousands of copies stays linear, and no link that could join two components
-   is skipped.
+   components is held against each other.  Pairs inside one component are never listed, and no
+   link that could join two components is skipped.  A form that is alone in having many of its
+   shingles cannot reach the threshold with any other: shingles held by one open form only are
+   counted, and they bound the similarity of every pair (``m / (|a| + |b| - m)`` with m the
+   smaller number of shared shingles).  So a text that was edited heavily isn't held against
+   all copies of its original.
 4. The sketch is a condition of the join; pairs that pass are verified on the full sets.
 
 The sketch cut lies five standard deviations beyond what two sets at the threshold show, so it
@@ -37,9 +40,13 @@ SKETCH = [f"_s{i}" for i in range(SKETCH_LONGS)]
 
 def sketch_limit(samples: int, bits: int, similarity: float) -> int:
     """Largest XOR population count at which two sets may still be ``similarity`` alike."""
-    differing = samples * (1 - similarity) + 5 * math.sqrt(samples * similarity * (1 - similarity))
-    expected = bits / 2 * (1 - math.exp(-4 * min(differing, samples) / bits))
-    return min(bits, math.ceil(expected + 5 * math.sqrt(bits) / 2 * 0.6))
+    differing = samples * (1 - similarity)
+    expected = bits / 2 * (1 - math.exp(-4 * differing / bits))
+    # Two sources of spread: which samples differ, and flips that meet on one bit.
+    slope = 2 * math.exp(-4 * differing / bits)
+    by_samples = slope**2 * samples * similarity * (1 - similarity)
+    by_meeting = 4 * (2 * differing) ** 2 / (2 * bits)
+    return min(bits, math.ceil(expected + 5 * math.sqrt(by_samples + by_meeting)))
 
 
 def _signatures(size: int):
@@ -119,6 +126,20 @@ def _verified(size: int, percent: int):
     return run
 
 
+def _spread_out(size: int):
+    """Arrow function: id, text -> id, shingle, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            row, value = shingles(words(*text_bytes(batch.column("text")), SPACES), size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(row)), pa.array(value.view(np.int64))],
+                ["id", "shingle"],
+            )
+
+    return run
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) for both ends of ``edges(a, b)``; the component is its smallest id.
 
@@ -171,6 +192,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         .groupBy("_fa", "_fb")
         .agg(
             F.min("doc_id").alias("id"),
+            F.min("n_shingles").alias("n"),
             F.min("_bands").alias("_bands"),
             *(F.min(c).alias(c) for c in SKETCH),
         ),
@@ -227,33 +249,61 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         .where("_kinds > 1")
         .select("bucket", F.col("_most.component").alias("_main"))
     )
-    open_members = written_copy(
-        member.join(mixed, "bucket").join(sketches, "id"), "open"
+    open_members = written_copy(member.join(mixed, "bucket"), "open")
+    open_ids = written_copy(open_members.select("id").distinct(), "open-ids")
+    alone = (
+        source.join(open_ids.withColumnRenamed("id", "doc_id"), "doc_id")
+        .select(F.col("doc_id").alias("id"), "text")
+        .mapInArrow(_spread_out(words_per_shingle), "id long, shingle long")
+        .groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.max("id").alias("_last"))
+        .where("id = _last")
+        .groupBy("id")
+        .agg(F.count("*").alias("alone"))
+    )
+    sized = written_copy(
+        forms.join(open_ids, "id")
+        .join(alone, "id", "left")
+        .groupBy("id")  # an id with several forms counts with its largest
+        .agg(
+            F.max("n").alias("n"),
+            F.max(F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"),
+            *(F.min(c).alias(c) for c in SKETCH),
+        ),
+        "sized",
     )
-    right = open_members.select(
+    # Alone, no partner can lift a form above shared / n; such forms need no comparison.
+    hopeful = sized.where(F.col("shared") * 100 >= F.col("n") * percent)
+    candidates = written_copy(open_members.join(hopeful, "id"), "hopeful")
+    right = candidates.select(
         "bucket",
         F.col("id").alias("b"),
         F.col("component").alias("_cb"),
         (F.col("component") == F.col("_main")).alias("_in_main"),
+        F.col("n").alias("_nb"),
+        F.col("shared").alias("_hb"),
         *(F.col(c).alias(f"r{c}") for c in SKETCH),
     )
-    left = open_members.where("component <> _main").select(
+    left = candidates.where("component <> _main").select(
         "bucket",
         F.col("id").alias("a"),
         F.col("component").alias("_ca"),
+        F.col("n").alias("_na"),
+        F.col("shared").alias("_ha"),
         *(F.col(c).alias(f"l{c}") for c in SKETCH),
     )
+    most = F.least("_ha", "_hb")
     second = (
         left.join(
             right,
             (left["bucket"] == right["bucket"])
             & (F.col("_ca") != F.col("_cb"))
             & (F.col("_in_main") | (F.col("a") < F.col("b")))
+            & (most * 100 >= (F.col("_na") + F.col("_nb") - most) * percent)
             & (differing <= limit),
         )
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
     )
     more = verify(written_copy(second, "pairs"))
     labels = components(links.union(more))
