@@ -5,7 +5,7 @@
 2. ``bands * rows`` MinHash samples per form are hashed into bands for candidates, and folded
    into an odd sketch: a bitmap that holds, per bit, the parity of the samples that fall on it.
    The population count of the XOR of two sketches estimates how many samples differ.
-3. First round: every form of a bucket is held against the bucket's smallest form only.
+3. First round: every form of a bucket is held against its *hub* only, the member that shares most bands with other forms.
    Second round: in buckets that still hold several components, every pair of different
    components is held against each other.  Pairs inside one component are never listed, and no
    link that could join two components is skipped.  A form that is alone in having many of its
@@ -200,9 +200,17 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     )
     # One document per form verifies it; a doc_id with several texts is told apart by its form.
     buckets = forms.select("id", F.explode("_bands").alias("bucket")).distinct()
-    hubs = buckets.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("_last"))
-    crowded = written_copy(
-        buckets.join(hubs.where("b <> _last").select("bucket", "b"), "bucket"), "crowded"
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("_size")).where("_size > 1")
+    crowded = written_copy(buckets.join(shared, "bucket"), "crowded")
+    # The hub of a bucket is the member that shares most bands with others: among edited copies
+    # that is the original or the least edited one, so most links are found against hubs.
+    central = crowded.groupBy("id").agg(F.sum("_size").alias("_weight"))
+    weighed = crowded.join(central, "id")
+    hubs = weighed.groupBy("bucket").agg(
+        F.max(F.struct("_weight", (-F.col("id")).alias("_minus"))).alias("_hub")
+    )
+    stars = crowded.join(hubs, "bucket").select(
+        F.col("id").alias("a"), (-F.col("_hub._minus")).alias("b")
     )
     sketches = forms.select("id", *SKETCH)
     limit = sketch_limit(BANDS * ROWS, SKETCH_LONGS * 64, percent / 100)
@@ -214,7 +222,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         return sketches.toDF(key, *(f"{prefix}{c}" for c in SKETCH))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        wanted = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
         # A doc_id that repeats with other texts brings them all; any alike pair links the ids.
         texts = written_copy(source.join(wanted, "doc_id").distinct(), "texts")
         return written_copy(
@@ -225,8 +233,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         )
 
     first = (
-        crowded.select(F.col("id").alias("a"), "b")
-        .where("a <> b")
+        stars.where("a <> b")
         .distinct()
         .join(side("l", "a"), "a")
         .join(side("r", "b"), "b")
