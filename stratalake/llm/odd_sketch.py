@@ -2,10 +2,11 @@
 
 1. Each text becomes its set of distinct word shingles.  Texts with equal sets are one *form*,
    so any number of exact copies costs one row from here on.
-2. ``bands * rows`` MinHash samples per form are hashed into bands for candidates, and folded
+2. MinHash samples of a form are hashed into bands for candidates, and all of them are folded
    into an odd sketch: a bitmap that holds, per bit, the parity of the samples that fall on it.
    The population count of the XOR of two sketches estimates how many samples differ.
-3. First round: every form of a bucket is held against its *hub* only, the member that shares most bands with other forms.
+3. First round: every form of a bucket is held against its *hub* only, the member that shares
+   most bands with other forms.
    Second round: in buckets that still hold several components, every pair of different
    components is held against each other.  Pairs inside one component are never listed, and no
    link that could join two components is skipped.  A form that is alone in having many of its
@@ -34,7 +35,7 @@ from stratalake.storage import written_copy
 
 ship(__name__)
 BANDS, ROWS = 25, 4
-SKETCH_LONGS = 8
+SAMPLES, SKETCH_LONGS = 400, 24  # the first BANDS * ROWS samples also make the bands
 SKETCH = [f"_s{i}" for i in range(SKETCH_LONGS)]
 
 
@@ -51,7 +52,7 @@ def sketch_limit(samples: int, bits: int, similarity: float) -> int:
 
 def _signatures(size: int):
     """Arrow function: doc_id, text -> doc_id, set size, set fingerprint, bands, sketch."""
-    samples = BANDS * ROWS
+    samples = SAMPLES
     factor = (numbers(21, samples) >> U64(32)).astype(np.uint32) | np.uint32(1)
     shift = (numbers(22, samples) >> U64(32)).astype(np.uint32)
     bits = SKETCH_LONGS * 64
@@ -213,7 +214,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         F.col("id").alias("a"), (-F.col("_hub._minus")).alias("b")
     )
     sketches = forms.select("id", *SKETCH)
-    limit = sketch_limit(BANDS * ROWS, SKETCH_LONGS * 64, percent / 100)
+    limit = sketch_limit(SAMPLES, SKETCH_LONGS * 64, percent / 100)
     differing = sum(
         (F.bit_count(F.col(f"l{c}").bitwiseXOR(F.col(f"r{c}"))) for c in SKETCH), F.lit(0)
     )
@@ -224,7 +225,8 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
         # A doc_id that repeats with other texts brings them all; any alike pair links the ids.
-        texts = written_copy(source.join(wanted, "doc_id").distinct(), "texts")
+        # Dealt by id at every size, so that the plan does not change as the pairs grow.
+        texts = written_copy(source.join(wanted.hint("merge"), "doc_id").distinct(), "texts")
         return written_copy(
             pairs.join(texts.toDF("a", "_ta"), "a")
             .join(texts.toDF("b", "_tb"), "b")
