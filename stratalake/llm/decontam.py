@@ -75,7 +75,8 @@ class _Block:
         w = words(data, offsets, NOT_ALNUM)
         self.length = w.count
         self.hash = np.zeros(len(texts), U64)
-        self.token, self.offset, self.owner, self.size = [], [], [], []
+        none = np.zeros(0, np.int64)
+        self.token, self.offset, self.owner, self.size = [none.view(U64)], [none], [none], [none]
         for length in np.unique(self.length):
             rows = np.flatnonzero(self.length == length)
             weights = numbers(1000 + int(length), int(length))
@@ -237,8 +238,8 @@ def contamination(
     id_type = docs.schema["doc_id"].dataType.simpleString()
     for k in range(n_blocks):
         rows = known.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == k).collect()
-        part = _Block([r["window"] for r in rows], [r["set"] for r in rows]) if rows else None
-        if part:
+        part = _Block([r["window"] for r in rows], [r["set"] for r in rows])
+        if rows:
             sizes = sorted(set(part.size.tolist()))
             counted = (
                 docs.select("text")
@@ -248,8 +249,6 @@ def contamination(
                 .collect()
             )
             part.keep_rarest(dict(counted))
-        else:
-            part = _Block(["-"], [0])  # a window without words: never found
         last = k == n_blocks - 1
         kept = "n_words long, n_hit long" if last else "text string, _marks array<long>"
         found = found.mapInArrow(
