@@ -51,7 +51,7 @@ def merge_rows(
 
     A full outer join can never be broadcast, so with ``small_source`` the merge
     is a left join plus the source rows without a match: if Spark then broadcasts
-    the source, the target is read in place.  ``bucketed`` says that the target
+    the source, the target is read in place.  Both plans give the same rows.  ``bucketed`` says that the target
     is bucketed by its keys, which an extra join key would spoil.
     """
     missing = sorted({*keys, *update} - set(source.columns))
@@ -83,7 +83,10 @@ def merge_rows(
     joined = t.join(s, on, "full_outer" if insert and not small_source else "left")
     merged = joined.select(*[value.alias(name) for name, value in columns.items()])
     if insert and small_source:
-        known = s.join(t, on).select(*[f"s.{key}" for key in keys]).distinct()
-        new = source.join(known, list(keys), "left_anti")
+        # Source rows that met no target row, each judged by itself: equal rows share their fate,
+        # other rows with the same key do not.
+        met = s.join(t, on).select(*[f"s.{name}" for name in source.columns]).distinct()
+        same = [F.col(f"n.{name}").eqNullSafe(F.col(f"m.{name}")) for name in source.columns]
+        new = source.alias("n").join(met.alias("m"), reduce(and_, same), "left_anti")
         merged = merged.unionByName(new.select(*target.columns))
     return merged

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
 RECOMMENDED = {
@@ -13,6 +10,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A merge joins on the bucket columns plus the partition column, if any: the buckets still fit.
+    # Set for the session, because table builds run in parallel threads of one session.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # One meaning for timestamps and partition values wherever a job runs.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
@@ -24,14 +24,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
     return spark
-
-
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Use another value of one setting inside the ``with`` block."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)

@@ -10,6 +10,8 @@ and a retried one simply writes another folder.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 import time
 import uuid
 from collections.abc import Sequence
@@ -22,7 +24,6 @@ from pyspark.sql.types import StructType
 
 from stratalake.operators.conform import keys_present
 from stratalake.operators.merge import merge_rows
-from stratalake.session import setting
 from stratalake.storage import delete_folder, list_folders, staged
 
 # An upsert source up to this many rows, and this many times smaller than the target, is
@@ -313,10 +314,12 @@ def _require_single_match(
     repeated = (
         source.where(keys_present(keys)).groupBy(*keys).count().where("count > 1").drop("count")
     )
-    candidates = target.alias("t")
+    rows = source.join(repeated, list(keys), "left_semi").alias("s")
+    on = reduce(and_, [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys])
     if match:
-        candidates = candidates.where(F.expr(match))
-    example = repeated.join(candidates, list(keys), "left_semi").first()
+        on = on & F.expr(match)
+    met = target.alias("t").join(rows, on).select("t.*")
+    example = met.groupBy(*target.columns).count().where("count > 1").select(*keys).first()
     if example is not None:
         raise ValueError(f"several source rows match one target row, for example {example}")
 
@@ -359,13 +362,9 @@ def upsert(
             reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert,
             small_source=small, bucketed=bool(layout.bucket_by),
         )
-        if not layout.bucket_by:
-            if partitions > PARTITIONS_PER_WRITING_TASK:
-                merged = _clustered(merged, layout)
-            return _write_version(merged, name, layout)
-        # The join keys are the bucket columns plus the partition column, if any.
-        with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-            return _write_version(merged, name, layout)
+        if not layout.bucket_by and partitions > PARTITIONS_PER_WRITING_TASK:
+            merged = _clustered(merged, layout)
+        return _write_version(merged, name, layout)
 
     if unique_source and small_source is not None and not layout.partition_by:
         path, partitions = merge(source, target, small_source)  # nothing to find out first

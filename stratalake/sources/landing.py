@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import SparkSession
 
@@ -28,10 +29,14 @@ def batch_path(landing: str, batch_id: str | None, item: str) -> str:
 def landing_batches(spark: SparkSession, landing: str) -> list[str]:
     """Batch ids found under ``landing``, oldest first.
 
-    Batches are ordered as text, which is only their order in time while all ids
-    have the same length, so a mixture is an error.
+    Names that cannot be batch ids (such as ``_tmp`` or ``.staging``) are passed over.  Batches
+    are ordered as text, which is only their order in time while all ids have the same length,
+    so an id of another length than most is an error.
     """
-    found = sorted(list_folders(spark, landing))
-    if len({len(name) for name in found}) > 1:
-        raise ValueError(f"batch ids differ in length and cannot be ordered: {found}")
+    found = sorted(name for name in list_folders(spark, landing) if _BATCH_ID.fullmatch(name))
+    lengths = Counter(map(len, found))
+    if len(lengths) > 1:
+        usual = lengths.most_common(1)[0][0]
+        strays = [name for name in found if len(name) != usual]
+        raise ValueError(f"batch ids differ in length and cannot be ordered: {strays} in {landing}")
     return found

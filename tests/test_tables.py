@@ -332,3 +332,28 @@ def test_layout_is_read_back(spark, lake):
     layout = TableLayout(partition_by="batch_id", bucket_by=("k", "v"), buckets=3)
     overwrite(frame(spark, [(1, "a", "x")]), name, layout)
     assert tables._stored_layout(spark, name) == layout
+
+
+@pytest.mark.parametrize("match", [None, "s.v = 'x'", "t.v <> s.v"])
+def test_both_merge_plans_give_the_same_rows(spark, match):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    source = spark.createDataFrame(
+        [(1, "x"), (2, "b"), (3, "x"), (3, "q"), (None, "c"), (None, "x")]
+        + ([(1, "q")] if match == "s.v = 'x'" else []),
+        "k int, v string",
+    )
+    plans = [
+        merge_rows(target, source, keys=["k"], update=["v"], match=match, small_source=small)
+        for small in (True, False)
+    ]
+    assert rows(plans[0]) == rows(plans[1])
+
+
+def test_repeated_source_keys_are_judged_by_the_match(spark, lake):
+    name = lake.name("silver", "judged")
+    overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    source = spark.createDataFrame([(1, "x"), (1, "q"), (2, "y"), (2, "z")], "k int, v string")
+    upsert(source, name, keys=["k"], update=["v"], match="s.v = 'x'")
+    assert rows(spark.table(name)) == [(1, "q"), (1, "x"), (2, "y"), (2, "z")]
+    with pytest.raises(ValueError, match="several source rows"):
+        upsert(spark.createDataFrame([(2, "m"), (2, "n")], "k int, v string"), name, keys=["k"], update=["v"], match="s.v <> t.v")
