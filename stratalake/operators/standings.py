@@ -11,10 +11,6 @@ from stratalake.storage import written_copy
 
 MEASURES = ("race_starts", "total_points", "number_of_wins", "number_of_podiums")
 
-# A season's ranking sorts at most one row per dimension row in a single task.
-# Above this many dimension rows the ranking is spread over tasks instead.
-MAX_ROWS_PER_RANKING_TASK = 5_000_000
-
 
 def season_totals(
     fact: DataFrame, dimension: DataFrame, key: str, labels: Sequence[str], season: str = "season"
@@ -96,21 +92,17 @@ def standings(
     key: str,
     labels: Sequence[str],
     season: str = "season",
-    dimension_rows: int | None = None,
-    max_rows_per_task: int = MAX_ROWS_PER_RANKING_TASK,
+    spread: bool = False,
 ) -> DataFrame:
     """Rank entities within each season by points, then wins; ties share a rank.
 
-    A season ranks at most one row per dimension row, so the size of the dimension
-    (counted unless ``dimension_rows`` is given) bounds the largest window group.
-    Within the bound the plan is a plain ``RANK()`` window, beyond it
-    :func:`rank_spread`.
+    A season is ranked in one sorted, spilling window of at most one row per dimension row.
+    ``spread`` ranks it over many tasks instead (:func:`rank_spread`), with the same result;
+    the plan is the caller's choice and never changes with the data.
     """
     totals = season_totals(fact, dimension, key, labels, season)
     scores = ["total_points", "number_of_wins"]
-    if dimension_rows is None:
-        dimension_rows = dimension.select(key).count()
-    if dimension_rows <= max_rows_per_task:
+    if not spread:
         window = Window.partitionBy(season).orderBy(*_best_first(scores))
         ranked = totals.withColumn("standing", F.rank().over(window))
     else:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from stratalake.operators.standings import MAX_ROWS_PER_RANKING_TASK, standings
 from stratalake.plans.lake import Lake
-from stratalake.sinks.tables import TableLayout, create_view, overwrite
+from stratalake.sinks.tables import create_view
 
 
 def standings_sql(fact: str, dimension: str, entity: str) -> str:
@@ -37,30 +36,9 @@ def standings_sql(fact: str, dimension: str, entity: str) -> str:
     """
 
 
-def build_views(lake: Lake, max_rows_per_task: int = MAX_ROWS_PER_RANKING_TASK) -> None:
-    """Create or replace both views.
-
-    A view ranks a season in one task, at most one row per dimension row.  For a
-    larger dimension the standings are computed by :func:`standings`, which
-    spreads the ranking, and stored as a gold table the view selects from.
-    """
+def build_views(lake: Lake) -> None:
+    """Create or replace both views.  They read gold when queried, at any size of the data."""
     fact = lake.name("gold", "fact_session_results")
     for entity in ("driver", "constructor"):
-        dimension = lake.name("gold", f"dim_{entity}s")
-        size = lake.spark.table(dimension).count()
-        if size <= max_rows_per_task:
-            query = standings_sql(fact, dimension, entity)
-        else:
-            stored = lake.name("gold", f"{entity}_standing")
-            ranked = standings(
-                lake.spark.table(fact),
-                lake.spark.table(dimension),
-                f"{entity}_id",
-                [f"{entity}_name", "nationality"],
-                dimension_rows=size,
-                max_rows_per_task=max_rows_per_task,
-            )
-            overwrite(ranked, stored, TableLayout(partition_by="season"))
-            columns = ", ".join(f"`{name}`" for name in ranked.columns)
-            query = f"SELECT {columns} FROM {stored}"
+        query = standings_sql(fact, lake.name("gold", f"dim_{entity}s"), entity)
         create_view(lake.spark, lake.name("gold", f"v_{entity}_standing"), query)

@@ -112,10 +112,10 @@ def _season(spark, entities, seed=7):
     return add_result_flags(df), dim, sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", [10**9, 0], ids=["window", "spread"])
-def test_standings_against_brute_force(spark, limit):
+@pytest.mark.parametrize("spread", [False, True], ids=["window", "spread"])
+def test_standings_against_brute_force(spark, spread):
     fact, dim, expected = _season(spark, 60)
-    ranked = standings(fact, dim, "driver_id", ["driver_name"], max_rows_per_task=limit)
+    ranked = standings(fact, dim, "driver_id", ["driver_name"], spread=spread)
     assert ranked.columns == [
         "season", "driver_id", "driver_name", "standing",
         "race_starts", "total_points", "number_of_wins", "number_of_podiums",

@@ -127,7 +127,7 @@ def driver_standings_spread(spark, sf_dir):
         drivers(spark, sf_dir),
         "driver_id",
         ["driver_name", "nation_key"],
-        max_rows_per_task=0,
+        spread=True,
     )
     return with_nationality(spark, sf_dir, ranked)
 
