@@ -32,7 +32,7 @@ from stratalake.llm.common import U64, mix, numbers, powers, process_cache, ship
 ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, ALPHA = 2, 1.0
-SLICE, REMEMBERED = 3 << 20, 1_500_000
+SLICE, REMEMBERED = 1 << 20, 600_000
 BLANK = 0x20
 
 
@@ -407,10 +407,6 @@ def _ids(lat: Lattice, v: Vocabulary, text: np.ndarray, edges: np.ndarray, byte_
 
 def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
     """Arrow function: doc_id, text, _seed -> ids or their digests, samples, round trip."""
-    item = [("n_tokens", pa.int64()), ("log_p", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()), ("digest", pa.int64())]
-    if with_ids:
-        item.append(("ids", pa.list_(pa.int32())))
-    sample_type = pa.list_(pa.struct(item))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(proto, alpha)
@@ -441,28 +437,23 @@ def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
             columns["ids_crc32"] = pa.array(digest, pa.int64())
             if with_ids:
                 columns["ids"] = pa.ListArray.from_arrays(pa.array(ids_cut.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            samples: list[list[dict]] = [[] for _ in range(n)]
+            made: list[tuple[np.ndarray, ...]] = []
+            spelled_ids: list[np.ndarray] = []
             if k and len(begin):
                 lat = Lattice(v, spelled, cut)
                 paths, beyond = sample(lat, cut[:-1][which], first, seed, k)
+                base = 0
                 for edges, path_cut, has, log_p, value in paths:
                     ids, size = _ids(lat, v, text, edges, spelled)
                     ids_at = np.concatenate([[0], np.cumsum(size)])[path_cut[first]]
                     with np.errstate(over="ignore"):
                         inclusion = -np.expm1(-np.exp(log_p - beyond))
-                    for i in np.flatnonzero(has):
-                        part = ids[ids_at[i] : ids_at[i + 1]]
-                        made = {
-                            "n_tokens": len(part),
-                            "log_p": float(log_p[i]),
-                            "perturbed": float(value[i]),
-                            "inclusion": float(inclusion[i]),
-                            "digest": zlib.crc32(part.astype("<i4").tobytes()),
-                        }
-                        if with_ids:
-                            made["ids"] = part.tolist()
-                        samples[i].append(made)
-            columns["samples"] = pa.array(samples, sample_type)
+                    i = np.flatnonzero(has)
+                    digest = [zlib.crc32(ids[a:b].astype("<i4").tobytes()) for a, b in zip(ids_at[i], ids_at[i + 1], strict=True)]
+                    made.append((i, ids_at[i] + base, np.diff(ids_at)[i], log_p[i], value[i], inclusion[i], np.array(digest, np.int64)))
+                    spelled_ids.append(ids.astype(np.int32))
+                    base += len(ids)
+            columns["samples"] = _sample_lists(made, spelled_ids, n, with_ids)
             columns["round_trip"] = pa.array(good)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -472,6 +463,25 @@ def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
 _BYTES = numbers(31, 256)
 
 
+def _sample_lists(made: list[tuple], ids: list[np.ndarray], rows: int, with_ids: bool) -> pa.Array:
+    """The samples of every row in the order they were drawn, as a list of structs."""
+    if made:
+        row, first, size, log_p, value, inclusion, digest = map(np.concatenate, zip(*made, strict=True))
+    else:
+        row = first = size = digest = np.zeros(0, np.int64)
+        log_p = value = inclusion = np.zeros(0)
+    order = np.argsort(row, kind="stable")
+    names = ["n_tokens", "log_p", "perturbed", "inclusion", "digest"]
+    fields = [pa.array(x[order]) for x in (size, log_p, value, inclusion, digest)]
+    if with_ids:
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        cut = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int32)
+        names.append("ids")
+        fields.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(_runs(flat, first[order], size[order]))))
+    cut = np.searchsorted(row[order], np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays(fields, names))
+
+
 def _runs(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs ``flat[first : first + size]`` one after another."""
     start = np.repeat(first - (np.cumsum(size) - size), size)
