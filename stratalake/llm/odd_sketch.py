@@ -10,10 +10,13 @@
    Second round: in buckets that still hold several components, every pair of different
    components is held against each other.  Pairs inside one component are never listed, and no
    link that could join two components is skipped.  A form that is alone in having many of its
-   shingles cannot reach the threshold with any other: shingles held by one open form only are
-   counted, and they bound the similarity of every pair (``m / (|a| + |b| - m)`` with m the
-   smaller number of shared shingles).  So a text that was edited heavily isn't held against
-   all copies of its original.
+   shingles cannot reach the threshold with any other, for the similarity of a pair is at most
+   ``m / (|a| + |b| - m)`` with m the most shingles it can share.  Shingles held by one open
+   form are left out of m.  Those held by two or three (*rare* ones) are left out too when the
+   forms of a bucket are held against each other; the pairs that share any of them are listed
+   from their holders instead, with the exact number of rare shingles they share.  So a text
+   that was edited heavily isn't held against all copies of its original, and no pair is lost:
+   one without a common rare shingle shares frequent ones only.
 4. The sketch is a condition of the join; pairs that pass are verified on the full sets.
 
 The sketch cut lies five standard deviations beyond what two sets at the threshold show, so it
@@ -27,7 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import SPACES, U64, mix, numbers, shingles, ship, slices, text_bytes, words
@@ -105,12 +109,13 @@ def _verified(size: int, percent: int):
         for batch in slices(slices(batches, "_ta"), "_tb"):
             n = batch.num_rows
             # Neighbouring pairs often share their second text; its set is then made once.
-            seconds = batch.column("b").to_numpy()
+            seconds = batch.column("_tb")
             fresh = np.ones(n, bool)
-            fresh[1:] = seconds[1:] != seconds[:-1]
+            other = pc.fill_null(pc.not_equal(seconds[1:], seconds[:-1]), True)
+            fresh[1:] = other.to_numpy(zero_copy_only=False)
             which = np.cumsum(fresh) - 1
             ra, va = shingles(words(*text_bytes(batch.column("_ta")), SPACES), size)
-            texts = batch.column("_tb").take(pa.array(np.flatnonzero(fresh)))
+            texts = seconds.take(pa.array(np.flatnonzero(fresh)))
             rb, vb = shingles(words(*text_bytes(texts), SPACES), size)
             ca, cb = np.bincount(ra, minlength=n), np.bincount(rb, minlength=int(fresh.sum()))
             ea, eb = np.concatenate([[0], np.cumsum(ca)]), np.concatenate([[0], np.cumsum(cb)])
@@ -259,30 +264,63 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         .select("bucket", F.col("_most.component").alias("_main"))
     )
     open_members = written_copy(member.join(mixed, "bucket"), "open")
-    open_ids = written_copy(open_members.select("id").distinct(), "open-ids")
-    alone = (
-        source.join(open_ids.withColumnRenamed("id", "doc_id"), "doc_id")
+    open_ids = written_copy(open_members.select("id", "component").distinct(), "open-ids")
+    holders = written_copy(
+        source.join(open_ids.select(F.col("id").alias("doc_id")), "doc_id")
         .select(F.col("doc_id").alias("id"), "text")
         .mapInArrow(_spread_out(words_per_shingle), "id long, shingle long")
         .groupBy("shingle")
-        .agg(F.min("id").alias("id"), F.max("id").alias("_last"))
-        .where("id = _last")
+        .agg(
+            F.count("*").alias("_n"),
+            F.min("id").alias("_low"),
+            F.max("id").alias("_high"),
+            F.bit_xor("id").alias("_xor"),
+        )
+        .where("_n <= 3 or _low = _high"),
+        "holders",
+    )
+    alone = holders.where("_low = _high").groupBy(F.col("_low").alias("id")).agg(
+        F.count("*").alias("alone")
+    )
+    # The third of three holders is what the other two leave of the XOR; a repeated row may
+    # stand for one of them.
+    third = F.when(
+        F.col("_n") == 3, F.col("_xor").bitwiseXOR(F.col("_low")).bitwiseXOR(F.col("_high"))
+    ).otherwise(F.col("_low"))
+    rare = holders.where("_low <> _high").select("_low", third.alias("_mid"), "_high")
+    scarce = (
+        rare.select(F.explode(F.array_distinct(F.array("_low", "_mid", "_high"))).alias("id"))
         .groupBy("id")
-        .agg(F.count("*").alias("alone"))
+        .agg(F.count("*").alias("scarce"))
+    )
+    # What was counted for a doc_id holds for its form only if the doc_id has no other text.
+    plain = (
+        signed.join(open_ids.select(F.col("id").alias("doc_id")), "doc_id")
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(
+            ((F.min("_fa") == F.max("_fa")) & (F.min("_fb") == F.max("_fb"))).alias("_plain")
+        )
+        .where("_plain")
     )
-    sized = written_copy(
+    seldom = F.when(F.col("_plain"), F.coalesce("alone", F.lit(0))).otherwise(0)
+    rarely = F.when(F.col("_plain"), F.coalesce("scarce", F.lit(0))).otherwise(0)
+    sized = written_copy(  # an id with several texts has a row for each, with its own sketch
         forms.join(open_ids, "id")
         .join(alone, "id", "left")
-        .groupBy("id")  # an id with several forms counts with its largest
-        .agg(
-            F.max("n").alias("n"),
-            F.max(F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"),
-            *(F.min(c).alias(c) for c in SKETCH),
+        .join(scarce, "id", "left")
+        .join(plain, "id", "left")
+        .select(
+            "id",
+            "component",
+            "n",
+            (F.col("n") - seldom).alias("shared"),
+            (F.col("n") - seldom - rarely).alias("frequent"),
+            *SKETCH,
         ),
         "sized",
     )
     # Alone, no partner can lift a form above shared / n; such forms need no comparison.
-    hopeful = sized.where(F.col("shared") * 100 >= F.col("n") * percent)
+    hopeful = sized.where(F.col("frequent") * 100 >= F.col("n") * percent).drop("component")
     candidates = written_copy(open_members.join(hopeful, "id"), "hopeful")
     right = candidates.select(
         "bucket",
@@ -290,7 +328,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         F.col("component").alias("_cb"),
         (F.col("component") == F.col("_main")).alias("_in_main"),
         F.col("n").alias("_nb"),
-        F.col("shared").alias("_hb"),
+        F.col("frequent").alias("_hb"),
         *(F.col(c).alias(f"r{c}") for c in SKETCH),
     )
     left = candidates.where("component <> _main").select(
@@ -298,23 +336,58 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         F.col("id").alias("a"),
         F.col("component").alias("_ca"),
         F.col("n").alias("_na"),
-        F.col("shared").alias("_ha"),
+        F.col("frequent").alias("_ha"),
         *(F.col(c).alias(f"l{c}") for c in SKETCH),
     )
-    most = F.least("_ha", "_hb")
-    second = (
+    def reaches(most) -> Column:
+        return most * 100 >= (F.col("_na") + F.col("_nb") - most) * percent
+
+    banded = (
         left.join(
             right,
             (left["bucket"] == right["bucket"])
             & (F.col("_ca") != F.col("_cb"))
             & (F.col("_in_main") | (F.col("a") < F.col("b")))
-            & (most * 100 >= (F.col("_na") + F.col("_nb") - most) * percent)
+            & reaches(F.least("_ha", "_hb"))
             & (differing <= limit),
         )
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
     )
-    more = verify(written_copy(second, "pairs"))
+    low, mid, high = F.col("_low"), F.col("_mid"), F.col("_high")
+    by_rare = (
+        rare.select(
+            F.explode(
+                F.array_distinct(
+                    F.array(*(F.struct(x.alias("a"), y.alias("b"))
+                              for x, y in ((low, mid), (mid, high), (low, high))))
+                )
+            ).alias("p")
+        )
+        .select("p.*")
+        .where("a <> b")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("_r"))
+    )
+
+    def half(end: str, prefix: str) -> DataFrame:
+        return sized.where(F.col("shared") * 100 >= F.col("n") * percent).select(
+            F.col("id").alias(end),
+            F.col("component").alias(f"_c{end}"),
+            F.col("n").alias(f"_n{end}"),
+            F.col("shared").alias(f"_s{end}"),
+            F.col("frequent").alias(f"_f{end}"),
+            *(F.col(c).alias(f"{prefix}{c}") for c in SKETCH),
+        )
+
+    several = (
+        by_rare.join(half("a", "l"), "a")
+        .join(half("b", "r"), "b")
+        .where("_ca <> _cb")
+        .where(reaches(F.least("_sa", "_sb", F.col("_r") + F.least("_fa", "_fb"))))
+        .where(differing <= limit)
+        .select("a", "b")
+    )
+    more = verify(written_copy(banded.union(several).distinct(), "pairs"))
     labels = components(links.union(more))
     by_form = forms.join(labels, "id", "left").select(
         "_fa", "_fb", F.coalesce("component", "id").alias("_component")

@@ -63,14 +63,18 @@ def test_near_duplicates(spark, odd):
     assert odd_sketch.near_duplicates(odd.limit(0), 5).count() == 0
 
 
-def test_near_duplicates_in_one_large_group(spark):
-    """Edited copies of one text, most of them unlike each other: components by brute force."""
+@pytest.mark.parametrize("places", [120, 25])
+def test_near_duplicates_in_one_large_group(spark, places):
+    """Edited copies of one text, most of them unlike each other: components by brute force.
+
+    With few places to edit, copies also share some of their edits with one or two others."""
     r, base = random.Random(5), prose(9, 120).split()
     texts = []
     for _ in range(120):
         edited = list(base)
         for _ in range(r.choice([1, 2, 3, 5, 8, 14])):
-            edited[r.randrange(len(edited))] = f"w{r.random():.6f}"
+            word = f"w{r.random():.6f}" if places == 120 else r.choice(["new", "other", "third"])
+            edited[r.randrange(places)] = word
         texts.append(" ".join(edited))
     sets = [{tuple(t.split()[i : i + 4]) for i in range(117)} for t in texts]
     label = list(range(120))
@@ -85,6 +89,12 @@ def test_near_duplicates_in_one_large_group(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(docs, 4).collect()}
     assert got == dict(enumerate(label))
+    # A doc_id with a second text, unlike all others, keeps the links of its first.
+    more = docs.union(spark.createDataFrame([(i, prose(500 + i, 90)) for i in range(0, 120, 3)], docs.schema))
+    got = {}
+    for r in odd_sketch.near_duplicates(more, 4).collect():  # a second text may be alone
+        got[r["doc_id"]] = min(r["component_id"], got.get(r["doc_id"], 1000))
+    assert got == dict(enumerate(label))
 
 
 def test_contamination(spark, odd):
