@@ -321,7 +321,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     )
     # Alone, no partner can lift a form above shared / n; such forms need no comparison.
     hopeful = sized.where(F.col("frequent") * 100 >= F.col("n") * percent).drop("component")
-    candidates = written_copy(open_members.join(hopeful, "id"), "hopeful")
+    # A pair of different components meets in every open bucket it shares; the first one lists it.
+    where_open = open_members.groupBy("id").agg(F.collect_set("bucket").alias("_open"))
+    candidates = written_copy(
+        open_members.join(hopeful, "id").join(where_open, "id"), "hopeful"
+    )
     right = candidates.select(
         "bucket",
         F.col("id").alias("b"),
@@ -329,6 +333,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         (F.col("component") == F.col("_main")).alias("_in_main"),
         F.col("n").alias("_nb"),
         F.col("frequent").alias("_hb"),
+        F.col("_open").alias("_ob"),
         *(F.col(c).alias(f"r{c}") for c in SKETCH),
     )
     left = candidates.where("component <> _main").select(
@@ -337,6 +342,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         F.col("component").alias("_ca"),
         F.col("n").alias("_na"),
         F.col("frequent").alias("_ha"),
+        F.col("_open").alias("_oa"),
         *(F.col(c).alias(f"l{c}") for c in SKETCH),
     )
     def reaches(most) -> Column:
@@ -349,7 +355,8 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
             & (F.col("_ca") != F.col("_cb"))
             & (F.col("_in_main") | (F.col("a") < F.col("b")))
             & reaches(F.least("_ha", "_hb"))
-            & (differing <= limit),
+            & (differing <= limit)
+            & (F.array_min(F.array_intersect("_oa", "_ob")) == left["bucket"]),
         )
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
