@@ -1,33 +1,34 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The vocabulary holds the words that a likelihood-ratio test on the examples ties to the toxic
-label.  Inverse document frequencies are counted over all documents.  The index keeps, per term
-and block of ``BLOCK`` examples, the largest weight: the sum of a query's terms times these
-maxima bounds every cosine in a block, so blocks are read in order of their bound until the
-bound falls below the k-th best cosine found.  What is skipped cannot be among the nearest.
+All words of a text count.  Inverse document frequencies are counted over all documents.  The
+index keeps, per word and block of ``BLOCK`` examples, the largest weight: the sum of a query's
+words times these maxima bounds every cosine in a block, so blocks are read in order of their
+bound until the bound falls below the k-th best cosine found.  What is skipped cannot be among
+the nearest.
 
 Near examples vote with weight 1 / (distance + ``SOFT``); a logistic curve fitted on the examples,
-each held against the others, turns the vote into a probability.  Texts without any term of the
-vocabulary are scored by the examples without any.
+each held against the others, turns the vote into a probability.  Texts without any word of
+an example are scored by the examples without words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import NOT_ALNUM, bounded_sample, ship, slices, text_bytes, words
+from stratalake.llm.common import NOT_ALNUM, U64, bounded_sample, mix, numbers, powers, ship, slices, text_bytes, words
+from stratalake.storage import written_copy
 
 ship(__name__)
 SAMPLE = 6000  # labelled examples, at most
-TERMS, EVIDENCE, LEAST = 256, 15.0, 5  # vocabulary size; likelihood ratio and documents needed
 BLOCK, NEAREST, SOFT, PRIOR = 64, 15, 0.2, 2.0
-MEMO = 100_000  # distinct queries a task remembers
+LEAST_IDF = 0.01
+OFTEN, MOST_OFTEN = 1_000, 200_000  # documents that make a word frequent, at least; such words, at most
 
 
 def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,73 +59,76 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def vocabulary(bags: list, terms: int = TERMS) -> np.ndarray:
-    """The words most tied to the toxic label, as ordered hashes."""
-    if not bags:
-        return np.zeros(0, np.int64)
-    toxic = np.array([b["toxic"] for b in bags], bool)
-    value = np.concatenate([np.array(b["words"], np.int64) for b in bags])
-    label = np.repeat(toxic, [len(b["words"]) for b in bags])
-    word, at = np.unique(value, return_inverse=True)
-    k1 = np.bincount(at, label, len(word))
-    k0 = np.bincount(at, ~label, len(word))
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    expect1 = (k1 + k0) * n1 / max(n1 + n0, 1)
-    expect0 = (k1 + k0) * n0 / max(n1 + n0, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (
-            np.where(k1 > 0, k1 * np.log(k1 / expect1), 0)
-            + np.where(k0 > 0, k0 * np.log(k0 / expect0), 0)
-        )
-    fit = np.flatnonzero((k1 > expect1) & (k1 + k0 >= LEAST) & (ratio >= EVIDENCE))
-    fit = fit[np.lexsort((word[fit], -ratio[fit]))][:terms]
-    return np.sort(word[fit])
-
-
 @dataclass
 class Index:
-    """Examples as unit vectors in postings per term, cut into blocks with their maxima."""
+    """Examples as unit vectors in postings per term, cut into blocks with their maxima.
 
-    vocabulary: np.ndarray
+    An entry is a term's postings within one block; entries are ordered by term, then block.
+    """
+
+    vocabulary: np.ndarray  # all words of the examples, as ordered hashes
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
-    postings: list = field(default_factory=list)  # per term: examples, weights, block starts
-    most: np.ndarray | None = None  # [terms, blocks]
+    first: np.ndarray  # first entry of each term, and their number
+    block: np.ndarray  # of each entry
+    most: np.ndarray  # largest weight of each entry
+    begin: np.ndarray  # first posting of each entry, and their number
+    example: np.ndarray  # of each posting
+    weight: np.ndarray
+    frequent: np.ndarray  # words of no example that many documents hold, as ordered hashes
+    frequent_idf: np.ndarray
     empty: float = 0.0  # share of toxic examples among those without any term
     rate: float = 0.0
     slope: float = 1.0
     offset: float = 0.0
+    rows: int = 0  # documents counted
+    counts: DataFrame | None = None  # word, n: in how many documents; stays on the driver
 
-    def vector(self, terms: np.ndarray, times: np.ndarray) -> np.ndarray:
-        weight = (1 + np.log(times)) * self.idf[terms]
-        return weight / max(np.sqrt((weight**2).sum()), 1e-12)
+    @property
+    def postings(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per term: examples, weights, and where its blocks begin."""
+        for a, b in zip(self.first, self.first[1:], strict=False):
+            p = slice(self.begin[a], self.begin[b])
+            yield self.example[p], self.weight[p], self.begin[a : b + 1] - self.begin[a]
 
     def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, skip: int = -1):
         """Positions and exact cosines of the k most similar examples; ties to the smaller id."""
-        bound = weight @ self.most[terms] + 1e-9
-        found = np.zeros(0, np.int64)
-        cosine = np.zeros(0)
-        floor = 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 1e-9 or (len(found) >= k and bound[block] < floor):
-                break
-            total = np.zeros(BLOCK)
-            for t, q in zip(terms, weight, strict=True):
-                examples, values, cut = self.postings[t]
-                a, b = cut[block], cut[block + 1]
-                total[examples[a:b] - block * BLOCK] += q * values[a:b]
-            at = np.flatnonzero(total > 0) + block * BLOCK
+        count = self.first[terms + 1] - self.first[terms]
+        entry = _runs(self.first[terms], count)
+        factor = np.repeat(weight, count)
+        blocks = -(-len(self.ids) // BLOCK)
+        bound = np.bincount(self.block[entry], factor * self.most[entry], blocks) + 1e-9
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 1e-9]
+        place = np.zeros(blocks, np.int16 if blocks < 1 << 15 else np.int64)
+        place[order] = np.arange(len(order))
+        place = place[self.block[entry]]
+        by = np.argsort(place, kind="stable")
+        entry, factor = entry[by], factor[by]
+        cut = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(order)))])
+        found, cosine, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
+        a, step = 0, 4
+        while a < len(order):
+            # Blocks are read a few at a time, only those whose bound reaches the floor.
+            b = min(len(order), a + step)
+            if len(found) >= k:
+                b = min(b, int(np.searchsorted(-bound[order], -floor, "right")))
+                if b <= a:
+                    break
+            e = entry[cut[a] : cut[b]]
+            size = self.begin[e + 1] - self.begin[e]
+            p = _runs(self.begin[e], size)
+            total = np.bincount(self.example[p], np.repeat(factor[cut[a] : cut[b]], size) * self.weight[p])
+            at = np.flatnonzero(total > 0)
             at = at[at != skip]
-            found = np.concatenate([found, at])
-            cosine = np.concatenate([cosine, total[at - block * BLOCK]])
-            if len(found) > k:
-                best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-                found, cosine = found[best], cosine[best]
+            found, cosine = np.concatenate([found, at]), np.concatenate([cosine, total[at]])
+            best = np.lexsort((found, -np.round(cosine, 12)))[:k]
+            found, cosine = found[best], cosine[best]
             if len(found) >= k:
-                floor = cosine.min() - 1e-9
-        best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-        return found[best], np.minimum(cosine[best], 1.0)
+                floor = cosine[-1] - 1e-9
+            a, step = b, 2 * step
+        return found, np.minimum(cosine, 1.0)
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         weight = 1 / (1 - cosine + SOFT)
@@ -135,41 +139,74 @@ class Index:
         return 1 / (1 + np.exp(-(self.slope * np.log(vote / (1 - vote)) + self.offset)))
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ..., ``size`` of them, of every run."""
+    first, size = first.astype(np.int64), size.astype(np.int64)
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _upper(x: np.ndarray) -> np.ndarray:
+    """The numbers in single precision, none of them smaller than before."""
+    return np.nextafter(x.astype(np.float32), np.float32(np.inf))
+
+
+def _idf(n, rows: int):
+    return np.maximum(np.log((rows + 1) / (n + 0.5)), LEAST_IDF)
+
+
+def _found(words: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Place of every value among the ordered words, -1 for other values."""
+    if not len(words):
+        return np.full(len(value), -1)
+    at = np.searchsorted(words, value)
+    at[at == len(words)] = 0
+    return np.where(words[at] == value, at, -1)
+
+
 def build(vocab: np.ndarray, idf: np.ndarray, bags: list) -> Index:
-    bags = sorted(bags, key=lambda b: (b["doc_id"], b["words"], b["times"]))
+    def plain(b, name: str) -> np.ndarray:
+        return np.asarray(b[name], np.int64)
+
+    bags = sorted(bags, key=lambda b: (b["doc_id"], plain(b, "words").tobytes(), plain(b, "times").tobytes()))
+    n, none = len(bags), np.zeros(0, np.int64)
+    term = _found(vocab, np.concatenate([none, *(plain(b, "words") for b in bags)]))
+    times = np.concatenate([none, *(plain(b, "times") for b in bags)])
+    row = np.repeat(np.arange(n), [len(b["words"]) for b in bags])
+    term, times, row = term[term >= 0], times[term >= 0], row[term >= 0]
+    weight = (1 + np.log(times)) * idf[term]
+    weight /= np.sqrt(np.bincount(row, weight**2, n))[row]
+    of_row = np.searchsorted(row, np.arange(n + 1))
+    order = np.lexsort((row, term))
+    small = np.int16 if n < 1 << 15 else np.int32  # the index is sent to every executor
+    held, example, value = term[order], row[order].astype(small), weight[order]
+    fresh = np.ones(len(held), bool)
+    fresh[1:] = (held[1:] != held[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK)
+    begin = np.flatnonzero(fresh)
     index = Index(
-        vocab, idf, np.array([b["doc_id"] for b in bags], np.int64), np.array([b["toxic"] for b in bags], float)
+        vocabulary=vocab,
+        idf=idf,
+        ids=np.array([b["doc_id"] for b in bags], np.int64),
+        toxic=np.array([b["toxic"] for b in bags], float),
+        first=np.searchsorted(held[begin], np.arange(len(vocab) + 1)).astype(np.int32),
+        block=example[begin] // BLOCK,
+        most=_upper(np.maximum.reduceat(value, begin)) if len(begin) else np.zeros(0, np.float32),
+        begin=np.append(begin, len(held)).astype(np.int32),
+        example=example,
+        weight=value,
+        frequent=none,
+        frequent_idf=np.zeros(0),
     )
-    rows: list[tuple[list, list]] = [([], []) for _ in vocab]
-    queries: list[tuple[np.ndarray, np.ndarray]] = []
-    for i, b in enumerate(bags):
-        value = np.array(b["words"], np.int64)
-        at = np.searchsorted(vocab, value)
-        hit = np.flatnonzero((at < len(vocab)) & (vocab[np.minimum(at, len(vocab) - 1)] == value)) if len(vocab) else []
-        terms = at[hit] if len(hit) else np.zeros(0, np.int64)
-        weight = index.vector(terms, np.array(b["times"], float)[hit]) if len(hit) else np.zeros(0)
-        queries.append((terms, weight))
-        for t, x in zip(terms, weight, strict=True):
-            rows[t][0].append(i)
-            rows[t][1].append(x)
-    blocks = -(-len(bags) // BLOCK)
-    index.most = np.zeros((len(vocab), blocks))
-    for t, (examples, values) in enumerate(rows):
-        examples, values = np.array(examples, np.int64), np.array(values)
-        cut = np.searchsorted(examples, np.arange(blocks + 1) * BLOCK)
-        np.maximum.at(index.most[t], examples // BLOCK, values)
-        index.postings.append((examples, values, cut))
-    index.rate = float(index.toxic.mean()) if len(bags) else 0.0
-    bare = np.array([len(t) == 0 for t, _ in queries], bool)
+    index.rate = float(index.toxic.mean()) if n else 0.0
+    bare = np.diff(of_row) == 0
     index.empty = (float(index.toxic[bare].sum()) + PRIOR * index.rate) / (bare.sum() + PRIOR)
     # Calibration: every example with terms against all others.
     x, y = [], []
-    for i, (terms, weight) in enumerate(queries):
-        if len(terms):
-            vote = index.vote(*index.nearest(terms, weight, NEAREST, skip=i))
-            vote = min(max(vote, 1e-4), 1 - 1e-4)
-            x.append(np.log(vote / (1 - vote)))
-            y.append(index.toxic[i])
+    for i in np.flatnonzero(~bare):
+        own = slice(of_row[i], of_row[i + 1])
+        vote = index.vote(*index.nearest(term[own], weight[own], NEAREST, skip=i))
+        vote = min(max(vote, 1e-4), 1 - 1e-4)
+        x.append(np.log(vote / (1 - vote)))
+        y.append(index.toxic[i])
     x, y = np.array(x), np.array(y)
     for _ in range(100 if len(x) else 0):
         p = 1 / (1 + np.exp(-(index.slope * x + index.offset)))
@@ -182,6 +219,16 @@ def build(vocab: np.ndarray, idf: np.ndarray, bags: list) -> Index:
     return index
 
 
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text -> word and in how many texts; the number of texts under a null word."""
+    for batch in slices(batches, "text"):
+        word, n = np.unique(_counted(batch)[1].view(np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *word.tolist()], pa.int64()), pa.array([batch.num_rows, *n.tolist()], pa.int64())],
+            ["word", "n"],
+        )
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     """Index of a bounded sample of ``labels(doc_id, toxic)``; frequencies over all ``docs``."""
     chosen = bounded_sample(
@@ -191,97 +238,175 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
         "doc_id",
         sample,
     )
-    bags = (
+    table = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(chosen, "doc_id")
         .select("doc_id", "toxic", "text")
         .mapInArrow(_bags, "doc_id long, toxic long, words array<long>, times array<long>")
-        .collect()
+        .toArrow()
+        .combine_chunks()
+    )
+    ids, toxic = table.column("doc_id").to_pylist(), table.column("toxic").to_pylist()
+    columns = [table.column(c) for c in ("words", "times")]
+    bags = [
+        {"doc_id": ids[i], "toxic": toxic[i], "words": columns[0][i].values.to_numpy(), "times": columns[1][i].values.to_numpy()}
+        for i in range(table.num_rows)
+    ]
+    vocab = np.unique(np.concatenate([np.zeros(0, np.int64), *(b["words"] for b in bags)]))
+    counts = written_copy(
+        docs.select("text").mapInArrow(_counting, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+        "word_counts",
     )
-    vocab = vocabulary(bags)
+    rows, held = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("word").isNotNull(), F.col("n"))), F.lit(0)),
+    ).first()
+
+    def of_examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_found(vocab, batch.column("word").to_numpy(zero_copy_only=False)) >= 0))
+
+    words_only = counts.where("word is not null")
+    known = words_only.mapInArrow(of_examples, "word long, n long").toArrow()
+    n = np.zeros(len(vocab))
+    n[np.searchsorted(vocab, known.column("word").to_numpy())] = known.column("n").to_numpy()
+    index = build(vocab, _idf(n, rows), bags)
+    # Words of many documents are looked up in tasks: the join of the others has no hot word.
+    often = words_only.where(F.col("n") >= max(OFTEN, held // MOST_OFTEN)).toArrow()
+    word, n = often.column("word").to_numpy(), often.column("n").to_numpy()
+    other = np.flatnonzero(_found(vocab, word) < 0)
+    other = other[np.argsort(word[other])]
+    index.frequent, index.frequent_idf = word[other], _idf(n[other], rows)
+    index.rows, index.counts = rows, words_only
+    return index
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(vocab), np.int64), 0
-        for batch in slices(batches, "text"):
-            at, hit, row = _terms(batch, vocab)
-            pair = np.unique(row * (len(vocab) + 1) + at)
-            total += np.bincount(pair % (len(vocab) + 1), minlength=len(vocab))[: len(vocab)]
-            rows += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1, *range(len(vocab))]), pa.array([rows, *total.tolist()])], ["term", "n"]
-        )
 
-    counted = dict(
-        docs.select("text")
-        .mapInArrow(frequencies, "term long, n long")
-        .groupBy("term")
-        .agg(F.sum("n"))
-        .collect()
-    )
-    n = counted.get(-1, 0)
-    idf = np.array([np.log((n + 1) / (counted.get(t, 0) + 0.5)) for t in range(len(vocab))])
-    return build(vocab, np.maximum(idf, 0.01), bags)
+def _row_keys(batch: pa.RecordBatch) -> np.ndarray:
+    """A 64-bit key of doc_id (hashed in ``_seed``) and text."""
+    data, offsets = text_bytes(batch.column("text"))
+    power, inverse = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, U64)
+    np.cumsum(_BYTES[data] * power[: len(data)], out=total[1:])
+    value = mix((total[offsets[1:]] - total[offsets[:-1]]) * inverse[offsets[:-1]] + np.diff(offsets).astype(U64))
+    return mix(value + mix(batch.column("_seed").to_numpy().view(U64))).view(np.int64)
 
 
-def _terms(batch: pa.RecordBatch, vocab: np.ndarray):
-    """(term, word position, row) of every word of the vocabulary."""
-    w = words(*text_bytes(batch.column("text")), NOT_ALNUM)
-    value = w.hash.view(np.int64)
-    if not len(vocab):
-        nothing = np.zeros(0, np.int64)
-        return nothing, nothing, nothing
-    at = np.searchsorted(vocab, value)
-    at[at == len(vocab)] = 0
-    hit = np.flatnonzero(vocab[at] == value)
-    return at[hit], hit, w.row[hit]
+_BYTES = numbers(41, 256)
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """doc_id, score, predicted and evidence (nearest examples with cosine) for every row.
 
-    Null and empty texts, and texts without any term, get the share of toxic examples among
-    those without any, and no evidence.  Other columns are ignored; repeated rows get equal
-    results; an empty table gives no rows; without examples every score is 0.
+    Null and empty texts, and texts without any word of an example, get the share of toxic
+    examples among those without any word, and no evidence.  Other columns are ignored; repeated
+    rows get equal results; an empty table gives no rows; without examples every score is 0.
+
+    The words of the examples decide who is near; all words of a text count in its norm.  Those
+    that neither an example nor many documents hold find their frequency by a join.
     """
+    counts, index = index.counts, replace(index, counts=None)
+    # Each function is sent no more of the index than it reads.
+    vocab, frequent, none = index.vocabulary, index.frequent, np.zeros(0, np.int64)
+    judge = replace(
+        index, vocabulary=none, idf=none, first=none, block=none, most=none, begin=none, example=none,
+        weight=none, frequent=none, frequent_idf=none,
+    )
+
+    def parts(batch: pa.RecordBatch):
+        row, value, times = _counted(batch)
+        value = value.view(np.int64)
+        at, often = _found(vocab, value), _found(frequent, value)
+        return row, value, times, at, often, (at < 0) & (often < 0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, tuple[float, list]] = {}
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            at, _, row = _terms(batch, index.vocabulary)
-            out = np.full(batch.num_rows, index.empty)
-            evidence: list[list] = [[] for _ in range(batch.num_rows)]
-            first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            for i in np.flatnonzero(np.diff(first)):
-                terms, times = np.unique(at[first[i] : first[i + 1]], return_counts=True)
-                key = terms.tobytes() + times.tobytes()
-                if key not in memo:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    found, cosine = index.nearest(terms, index.vector(terms, times), NEAREST)
-                    memo[key] = (
-                        index.calibrated(index.vote(found, cosine)),
-                        [
-                            {"doc_id": int(index.ids[j]), "cosine": float(c)}
-                            for j, c in zip(found, cosine, strict=True)
-                        ],
-                    )
-                out[i], evidence[i] = memo[key]
+            row, _, times, at, often, rare = parts(batch)
+            n = batch.num_rows
+            weight = np.zeros(len(row))
+            known, other = at >= 0, often >= 0
+            weight[known] = (1 + np.log(times[known])) * index.idf[at[known]]
+            weight[other] = (1 + np.log(times[other])) * index.frequent_idf[often[other]]
+            square = np.bincount(row, weight**2, n).astype(float)
+            norm = np.sqrt(square)
+            first = np.searchsorted(row, np.arange(n + 1))
+            found, cosine = [], []
+            for a, b, whole in zip(first[:-1], first[1:], norm, strict=True):
+                own = np.flatnonzero(known[a:b]) + a
+                near = index.nearest(at[own], weight[own] / whole, NEAREST) if len(own) else (np.zeros(0, int), np.zeros(0))
+                found.append(near[0])
+                cosine.append(near[1])
+            cut = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(out),
-                    pa.array(
-                        evidence,
-                        pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])),
-                    ),
+                    pa.array(_row_keys(batch)),
+                    pa.array(np.bincount(row[rare], minlength=n) > 0),
+                    pa.array(square),
+                    pa.ListArray.from_arrays(cut, pa.array(np.concatenate([np.zeros(0, int), *found]).astype(np.int32))),
+                    pa.ListArray.from_arrays(cut, pa.array(np.concatenate([np.zeros(0), *cosine]))),
+                ],
+                ["doc_id", "_key", "_rare", "_square", "_found", "_cosine"],
+            )
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            row, value, times, _, _, rare = parts(batch)
+            row, value, times = row[rare], value[rare], times[rare]
+            lead = np.ones(len(row), np.int64)  # once per row: repeated rows share a key
+            lead[1:] = row[1:] != row[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_row_keys(batch)[row]), pa.array(lead), pa.array(value), pa.array(times.astype(np.int64))],
+                ["_key", "_lead", "word", "times"],
+            )
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores, evidence = [], []
+            square = batch.column("_square").to_numpy()
+            share = np.sqrt(square / np.maximum(square + batch.column("_other").to_numpy(), 1e-300))
+            for found, cosine, part in zip(
+                batch.column("_found").to_pylist(), batch.column("_cosine").to_pylist(), share, strict=True
+            ):
+                found, cosine = np.array(found, np.int64), np.array(cosine) * part
+                scores.append(judge.calibrated(judge.vote(found, cosine)) if len(found) else judge.empty)
+                evidence.append(
+                    [{"doc_id": int(d), "cosine": float(c)} for d, c in zip(judge.ids[found], cosine, strict=True)]
+                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(scores, pa.float64()),
+                    pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
                 ],
                 ["doc_id", "score", "evidence"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, score double, evidence array<struct<doc_id: long, cosine: double>>"
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("_seed"))
+    near = keyed.mapInArrow(
+        searched,
+        f"doc_id {kind}, _key long, _rare boolean, _square double, _found array<int>, _cosine array<double>",
+    )
+    pairs = keyed.mapInArrow(rare_words, "_key long, _lead long, word long, times long")
+    if counts is None:
+        counts = docs.sparkSession.createDataFrame([], "word long, n long")
+    idf = F.greatest(
+        F.log((F.lit(index.rows) + 1) / (F.coalesce("n", F.lit(0)) + 0.5)), F.lit(LEAST_IDF)
+    )
+    other = (
+        pairs.join(counts, "word", "left")
+        .select("_key", "_lead", F.pow((F.log("times") + 1) * idf, F.lit(2.0)).alias("_part"))
+        .groupBy("_key")
+        .agg((F.sum("_part") / F.sum("_lead")).alias("_other"))
+    )
+    # Rows without rare words are joined by a key of their own, so that they are spread.
+    lone = F.xxhash64("_key", F.rand(5))
     return (
-        docs.select("doc_id", "text")
-        .mapInArrow(run, schema)
+        near.withColumn("_key", F.when(F.col("_rare"), F.col("_key")).otherwise(lone))
+        .join(other, "_key", "left")
+        .withColumn("_other", F.when(F.col("_rare"), F.col("_other")).otherwise(F.lit(0.0)))
+        .withColumn("_other", F.coalesce("_other", F.lit(0.0)))
+        .select("doc_id", "_square", "_other", "_found", "_cosine")
+        .mapInArrow(voted, f"doc_id {kind}, score double, evidence array<struct<doc_id: long, cosine: double>>")
         .select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
     )
