@@ -62,7 +62,7 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), with_decoded=True)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -405,8 +406,8 @@ def _ids(lat: Lattice, v: Vocabulary, text: np.ndarray, edges: np.ndarray, byte_
     return out, size
 
 
-def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
-    """Arrow function: doc_id, text, _seed -> ids or their digests, samples, round trip."""
+def segment(proto: bytes, k: int, alpha: float, with_ids: bool, with_decoded: bool = False):
+    """Arrow function: doc_id, text, _seed -> ids or their digests, samples, round trip, decoded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(proto, alpha)
@@ -455,6 +456,8 @@ def segment(proto: bytes, k: int, alpha: float, with_ids: bool):
                     base += len(ids)
             columns["samples"] = _sample_lists(made, spelled_ids, n, with_ids)
             columns["round_trip"] = pa.array(good)
+            if with_decoded:
+                columns["decoded"] = _decoded_same(v, columns["ids"], columns["samples"], batch.column("text"))
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
@@ -502,15 +505,59 @@ def _same(v: Vocabulary, ids: np.ndarray, cut: np.ndarray, text: np.ndarray, row
     )
 
 
-def encode(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, alpha: float = ALPHA, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, (ids,) samples, round_trip for every row of ``docs``.
+def texts_of(v: Vocabulary, ids: pa.ListArray) -> pa.Array:
+    """The text that every list of ids spells; null counts as no ids."""
+    flat = ids.flatten().to_numpy().astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])
+    data = v.decoded(flat)
+    cut = np.concatenate([[0], np.cumsum(v.length[flat])])[first]
+    some = np.flatnonzero(np.diff(cut))
+    if (data[cut[some]] == BLANK).all():
+        inside = np.ones(len(data), bool)
+        inside[cut[some]] = False  # the blank that encoding puts before a text
+        ends = np.concatenate([[0], np.cumsum(np.diff(cut) > 0)])
+        buffers = [None, pa.py_buffer((cut - ends).astype(np.int32)), pa.py_buffer(data[inside])]
+        out = pa.Array.from_buffers(pa.string(), len(ids), buffers)
+        try:
+            out.validate(full=True)
+            return out
+        except pa.ArrowInvalid:  # ids that are no text
+            pass
+    raw = data.tobytes()
+    return pa.array([raw[a:b].decode("utf-8", "replace")[1:] for a, b in zip(cut, cut[1:], strict=False)], pa.string())
+
+
+def _decoded_same(v: Vocabulary, ids: pa.ListArray, samples: pa.ListArray, text: pa.Array) -> pa.Array:
+    """Whether the ids of every row and those of each of its samples decode to its text."""
+    text = pc.fill_null(text.cast(pa.string()), "")
+    good = pc.equal(texts_of(v, ids), text).to_numpy(zero_copy_only=False).copy()
+    row = np.repeat(np.arange(len(text)), pc.list_value_length(samples).to_numpy())
+    for a in range(0, len(row), len(text)):
+        part = samples.flatten().field("ids").slice(a, len(text))
+        of = row[a : a + len(text)]
+        good[of[~pc.equal(texts_of(v, part), text.take(pa.array(of))).to_numpy(zero_copy_only=False)]] = False
+    return pa.array(good)
+
+
+def encode(
+    docs: DataFrame,
+    model: str = MODEL,
+    k: int = SAMPLES,
+    alpha: float = ALPHA,
+    with_ids: bool = True,
+    with_decoded: bool = False,
+) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32, (ids,) samples, round_trip (, decoded) for every row of ``docs``.
 
     Each sample has n_tokens, log_p, perturbed, inclusion, digest (, ids); they differ from each
     other.  A text with fewer segmentations has fewer samples; null and empty texts have no ids
     and no samples.  ``round_trip`` says that the ids
-    spell the text again.  Rows with equal doc_id and text get equal results; a null doc_id is a key
+    spell the text again; ``decoded`` (with ids only) that they and the ids of every sample, decoded
+    as ``decode`` does, give the text.  Rows with equal doc_id and text get equal results; a null doc_id is a key
     like any other.  Other columns are ignored; an empty table gives no rows.
     """
+    if with_decoded and not with_ids:
+        raise ValueError("with_decoded needs with_ids")
     with open(model, "rb") as file:  # on the driver; tasks get the bytes
         proto = file.read()
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -519,9 +566,10 @@ def encode(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, alpha: float =
     schema = (
         f"doc_id {kind}, n_tokens long, ids_crc32 long, {ids}samples array<struct<n_tokens: long, "
         f"log_p: double, perturbed: double, inclusion: double, digest: long{inner}>>, round_trip boolean"
+        + (", decoded boolean" if with_decoded else "")
     )
     seed = F.xxhash64(F.col("doc_id").cast("string"))
-    return docs.select("doc_id", "text", seed.alias("_seed")).mapInArrow(segment(proto, k, alpha, with_ids), schema)
+    return docs.select("doc_id", "text", seed.alias("_seed")).mapInArrow(segment(proto, k, alpha, with_ids, with_decoded), schema)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -532,11 +580,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(proto, ALPHA)
         for batch in batches:
-            texts = [
-                v.decoded(np.array(ids or [], np.int64)).tobytes().decode("utf-8", "replace")[1:]
-                for ids in batch.column("ids").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts_of(v, batch.column("ids"))], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
