@@ -152,16 +152,24 @@ def _searched(k: int):
             ids = right.column("vec_id").to_numpy()
             order = np.argsort(ids, kind="stable")
             ids, rows = ids[order], _matrix(right.column("vector"))[order]
+            # Places of one vec_id; its nearest vector stands for it.
+            begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            alone = ids[begin]
             for a in range(0, left.num_rows, 256):
                 part = left.slice(a, 256)
                 own, q = part.column("vec_id").to_numpy(), _matrix(part.column("vector"))
                 rough = (rows**2).sum(1) - 2 * q @ rows.T + (q**2).sum(1)[:, None]
                 rough[own[:, None] == ids] = np.inf
                 # The rough distance decides with a margin; the exact one ranks.
-                n = min(k, len(ids))
-                edge = np.partition(rough, n - 1, axis=1)[:, n - 1]
+                n = min(k, len(alone))
+                nearest_of = np.minimum.reduceat(rough, begin, axis=1)
+                edge = np.partition(nearest_of, n - 1, axis=1)[:, n - 1]
                 row, at = np.nonzero((rough <= (edge + 1e-6 * (1 + np.abs(edge)))[:, None]) & np.isfinite(rough))
                 exact = np.sqrt(((q[row] - rows[at]) ** 2).sum(1))
+                rank = np.lexsort((exact, ids[at], row))
+                row, at, exact = row[rank], at[rank], exact[rank]
+                fresh = np.append(True, (row[1:] != row[:-1]) | (ids[at[1:]] != ids[at[:-1]]))[: len(row)]
+                row, at, exact = row[fresh], at[fresh], exact[fresh]
                 rank = np.lexsort((ids[at], exact, row))
                 row, at, exact = row[rank], at[rank], exact[rank]
                 place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(q)))[row]
@@ -202,7 +210,7 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST) -> DataFrame:
             F.col("vec_id").cast("long").alias("vec_id"),
             component.cast("array<double>").alias("vector"),
             F.coalesce(is_query, F.lit(False)).alias("is_query"),
-        ),
+        ).distinct(),
         "vectors",
     )
     length = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
