@@ -2,7 +2,7 @@
 
 Four kinds: email, ip, card, phone.  The base rules (patterns with checks, see ``base_spans``)
 are found in the whole text in linear time and always stay.  Around digits, ``@`` and spelled-out
-at-signs that no base span covers, a semi-Markov field decides: candidate segments are runs of
+at-signs (in brackets, or with "dot" or a dot and an ending after them) that no base span covers, a semi-Markov field decides: candidate segments are runs of
 up to ``LONGEST`` tokens, scored by features of the whole span (digit count, grouping, Luhn sum,
 parts in range, spelled-out separators, the word before it), and dynamic programming chooses
 boundaries and kinds together.  A decoded span is added if its posterior probability is at
@@ -21,6 +21,7 @@ import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHOR = re.compile(r"[0-9@]|\((?:at|AT)\)|\[(?:at|AT)\]")
+_ANCHOR = re.compile(r"[0-9@]|(?<![^\W\d_])[Aa][Tt](?![^\W\d_])")
+_WRAPPED = re.compile(r"\s{0,3}[)\]}]")
+_WRAPS = re.compile(r"[(\[{]\s{0,3}\Z")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_", re.UNICODE)
 _WORD = re.compile(r"\S+")
 
@@ -93,6 +96,7 @@ _HINTS = {  # words that announce a kind
     "phone": {"phone", "call", "tel", "telephone", "mobile", "fax", "dial"},
 }
 _ATS, _DOTS = {"at"}, {"dot"}
+_BRACKETS = {"{": "[", "}": "]"}
 _ENDINGS = {"com", "org", "net", "edu", "info", "io", "de", "fr", "es", "co", "uk", "eu"}
 
 
@@ -126,6 +130,8 @@ def span_features(tokens: list[str], gaps: list[bool], a: int, b: int) -> list[s
         out.append("(at)")
     elif spelled_at:
         out.append("at")
+    if spelled_at:  # how far into the span: an address has one word before it
+        out.append(f"lead{min(next(i for i, t in enumerate(low) if t in _ATS), 4)}")
     if spelled_dot:
         out.append("dot")
     if (wrapped or spelled_at) and (spelled_dot or "." in signs) and low[-1] in _ENDINGS:
@@ -356,6 +362,26 @@ def trained(count: int = 900) -> Field:
 # --- texts ---------------------------------------------------------------------------------
 
 
+def _spelled_at(text: str, start: int, end: int) -> bool:
+    """Whether the word "at" is in brackets, or "dot" or a dot and an ending follow within a span."""
+    if _WRAPPED.match(text, end) and _WRAPS.search(text[max(0, start - 4) : start]):
+        return True
+    last = ""
+    for t in islice(_TOKEN.finditer(text, end), LONGEST):
+        token = t[0].lower()
+        if token in _DOTS or (last == "." and token in _ENDINGS):
+            return True
+        last = token
+    return False
+
+
+def _reach(text: str, start: int, end: int) -> tuple[int, int]:
+    """Place of the words within ``LONGEST`` tokens of a spelled-out at-sign."""
+    before = [m.start() for m in _TOKEN.finditer(text, max(0, start - 600), start)][-LONGEST:]
+    after = [m.end() for m in islice(_TOKEN.finditer(text, end), LONGEST)]
+    return min([start, *before]), max([end, *after])
+
+
 def open_regions(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """Stretches around anchors that no base span covers, with some words of context."""
     regions: list[list[int]] = []
@@ -367,11 +393,22 @@ def open_regions(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int
         if m.start() < reach:
             continue
         a, b = max(0, m.start() - 60), min(len(text), m.end() + 60)
+        if m.end() - m.start() == 2:
+            if not _spelled_at(text, *m.span()):
+                continue
+            first, end = _reach(text, *m.span())
+            a, b = min(a, first), max(b, end)
         if regions and a <= regions[-1][1]:
-            regions[-1][1] = b
+            regions[-1] = [min(a, regions[-1][0]), max(b, regions[-1][1])]
         else:
             regions.append([a, b])
-    return [(a, b) for a, b in regions]
+    merged: list[tuple[int, int]] = []
+    for a, b in regions:  # a spelled-out sign may reach back over earlier regions
+        while merged and a <= merged[-1][1]:
+            first, end = merged.pop()
+            a, b = min(a, first), max(b, end)
+        merged.append((a, b))
+    return merged
 
 
 def _shape(tokens: list[str], gaps: list[bool]) -> tuple:
@@ -393,6 +430,7 @@ class Finder:
         out = []
         for a, b in open_regions(text, spans):
             tokens, gaps, places = tokenised(text[a:b])
+            tokens = [_BRACKETS.get(t, t) for t in tokens]  # the field was shown no braces
             for i in range(0, len(tokens), 400):  # a very long region, in overlapping stretches
                 part = slice(max(0, i - LONGEST), i + 400 + LONGEST)
                 key = _shape(tokens[part], gaps[part])
