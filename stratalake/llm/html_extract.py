@@ -79,9 +79,11 @@ TOKENS = [  # words in class, id and role that hint at a part of a page
 _WORD_KIND = {w: i for i, ws in enumerate(TOKENS) for w in ws}
 _TAG_KIND = {t: i for i, ts in enumerate(KINDS) for t in ts}
 
+# A quote opens a value only after "=", and each place can be read in one way only, so matching never
+# backtracks.  If no ">" follows outside the values, the tag ends at the first ">" (quotes ignored).
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)"
-    r"((?:[^'\"<>]|\"[^\"]{0,4000}\"|'[^']{0,4000}'|['\"])*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*+)"
+    r"(?:((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|([^<>]*+)>)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden|data-gold)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -147,7 +149,7 @@ def read(markup: str) -> Page:
         at = m.end()
         if m[2] is None:
             continue
-        name = m[2].lower()
+        name, attributes = m[2].lower(), m[3] if m[3] is not None else m[4]
         if m[1]:
             if name in BLOCKS:
                 block, link = block + 1, False
@@ -159,7 +161,7 @@ def read(markup: str) -> Page:
                 end_of({name}, BLOCKS)
             continue
         if name in RAW:
-            if not m[3].rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
                 close = _RAW_END[name].search(markup, at)
                 at = close.end() if close else len(markup)
             continue
@@ -176,11 +178,11 @@ def read(markup: str) -> Page:
                 end_of(*CLOSES[name])
             if name == "html" and len(stack) == 1:
                 continue
-            stack.append((name, page.add(stack[-1][1], name, m[3])))
+            stack.append((name, page.add(stack[-1][1], name, attributes)))
         else:
             link = link or name == "a"
-            if _ATTRIBUTE.search(m[3]) and not m[3].rstrip().endswith("/"):
-                stack.append((name, page.add(stack[-1][1], name, m[3])))
+            if _ATTRIBUTE.search(attributes) and not attributes.rstrip().endswith("/"):
+                stack.append((name, page.add(stack[-1][1], name, attributes)))
     text(at, len(markup))
     return page
 
