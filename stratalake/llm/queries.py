@@ -15,6 +15,7 @@ from stratalake.llm import (
     quality_crf,
     semicrf,
     sentencepieces,
+    slice_codes,
     spann,
     toxicity,
 )
@@ -83,6 +84,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_slice_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    books = slice_codes.fit(rows)
+    coded = slice_codes.with_group_error(slice_codes.encode(rows, books), "label")
+    digest = F.lit(books.digest if books else None).cast("string")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_text,
@@ -95,9 +104,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepieces,
         op9_quality,
         op10_toxicity,
+        op11_slice_codes,
     )
 }
 ORACLES: dict[str, str] = {
     "op4_odd_sketch_dedup": odd_sketch.SQL,
     "op6_decontaminate": decontam.SQL,
+    "op11_slice_codes": slice_codes.SQL,
 }
