@@ -11,6 +11,7 @@ from stratalake.llm import (
     decontam,
     html_extract,
     langid,
+    line_dedup,
     odd_sketch,
     quality_crf,
     semicrf,
@@ -92,6 +93,11 @@ def op11_slice_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_text,
@@ -105,10 +111,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_toxicity,
         op11_slice_codes,
+        op13_line_dedup,
     )
 }
 ORACLES: dict[str, str] = {
     "op4_odd_sketch_dedup": odd_sketch.SQL,
     "op6_decontaminate": decontam.SQL,
     "op11_slice_codes": slice_codes.SQL,
+    "op13_line_dedup": line_dedup.SQL,
 }
