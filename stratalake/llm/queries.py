@@ -13,6 +13,7 @@ from stratalake.llm import (
     langid,
     line_dedup,
     odd_sketch,
+    phrases,
     quality_crf,
     semicrf,
     sentencepieces,
@@ -93,6 +94,10 @@ def op11_slice_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_toxicity,
         op11_slice_codes,
+        op12_collocations,
         op13_line_dedup,
     )
 }
@@ -118,5 +124,6 @@ ORACLES: dict[str, str] = {
     "op4_odd_sketch_dedup": odd_sketch.SQL,
     "op6_decontaminate": decontam.SQL,
     "op11_slice_codes": slice_codes.SQL,
+    "op12_collocations": phrases.SQL,
     "op13_line_dedup": line_dedup.SQL,
 }
