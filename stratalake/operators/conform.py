@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from stratalake.functions.lineage import LINEAGE_COLUMNS, SOURCE_FILE
 from stratalake.functions.text import full_name, title_case
 from stratalake.operators.dedupe import any_per_key, first_per_key
 
+if TYPE_CHECKING:
+    from stratalake.operators.quality import RowLoss
+
 
 @dataclass(frozen=True)
 class ConformSpec:
@@ -75,17 +79,23 @@ def conform(
     strict_keys: bool = True,
     order: Sequence[str | Column] | None = None,
     arbitrary: bool = False,
+    audit: RowLoss | None = None,
 ) -> DataFrame:
     """Apply ``spec``: shape, reject null keys, one row per key, title-case.
 
     ``strict_keys=False`` only checks ``spec.checked_keys``.  ``arbitrary=True``
     keeps any duplicate; otherwise the survivor is the first in ``order``
-    (default :func:`business_order`).
+    (default :func:`business_order`).  ``audit`` counts what is removed.
     """
     df = shape(df, spec)
-    df = df.where(keys_present(spec.keys if strict_keys else spec.checked_keys))
+    checked = spec.keys if strict_keys else spec.checked_keys
+    if audit:
+        df = audit.entering(df, checked)
+    df = df.where(keys_present(checked))
     if arbitrary:
         df = any_per_key(df, spec.keys)
     else:
         df = first_per_key(df, spec.keys, order or business_order(df, spec.keys))
+    if audit:
+        df = audit.leaving(df)
     return title_case(df, spec.title)

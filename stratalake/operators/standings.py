@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.functions.sums import PARTS, exact_parts, exact_total
 from stratalake.storage import written_copy
 
 MEASURES = ("race_starts", "total_points", "number_of_wins", "number_of_podiums")
@@ -19,18 +20,24 @@ def season_totals(
 
     The fact is summed per (season, key) before the join: a hot entity is folded
     inside each map task and only totals reach the join.  Summing again after the
-    join keeps the meaning of "join, then group" for a dimension that repeats a key.
+    join keeps the meaning of "join, then group" for a dimension that repeats a key.  Points are
+    added without rounding, so equal totals tie however the rows are spread.
     """
+    counts = {
+        "race_starts": F.count(F.lit(1)),
+        "number_of_wins": F.count_if("is_win"),
+        "number_of_podiums": F.count_if("is_podium"),
+    }
     per_key = fact.groupBy(season, key).agg(
-        F.count(F.lit(1)).alias("race_starts"),
-        F.sum("points").alias("total_points"),
-        F.count_if("is_win").alias("number_of_wins"),
-        F.count_if("is_podium").alias("number_of_podiums"),
+        *[count.alias(name) for name, count in counts.items()],
+        *[F.expr(part).alias(f"points_{name}") for name, part in exact_parts("points").items()],
     )
+    total = exact_total({name: f"sum(points_{name})" for name in PARTS})
     return (
         per_key.join(dimension.select(key, *labels), key)
         .groupBy(season, key, *labels)
-        .agg(*[F.sum(measure).alias(measure) for measure in MEASURES])
+        .agg(*[F.sum(name).alias(name) for name in counts], F.expr(total).alias("total_points"))
+        .select(season, key, *labels, *MEASURES)
     )
 
 

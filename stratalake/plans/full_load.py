@@ -8,7 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from stratalake.operators.conform import conform, shape
-from stratalake.operators.quality import removed_rows
+from stratalake.operators.quality import RowLoss, removed_rows
+from stratalake.plans.control import record_audits
 from stratalake.plans.datasets import DATASETS, Dataset
 from stratalake.plans.lake import Lake
 from stratalake.plans.stages import (
@@ -43,19 +44,26 @@ def load_bronze(lake: Lake, dataset: Dataset, points: str = "DOUBLE") -> None:
 
 def load_silver(
     lake: Lake, dataset: Dataset, *, strict_keys: bool = True, arbitrary: bool = False
-) -> None:
-    bronze = lake.table("bronze", dataset.name)
-    clean = conform(bronze, dataset.spec, strict_keys=strict_keys, arbitrary=arbitrary)
+) -> dict[str | None, dict[str, int]]:
+    """Clean one dataset; returns what was removed, counted while the table was written."""
+    bronze, audit = lake.table("bronze", dataset.name), RowLoss()
+    clean = conform(bronze, dataset.spec, strict_keys=strict_keys, arbitrary=arbitrary, audit=audit)
     layout = lake.layout("silver", dataset.name, dataset.layout)
     overwrite(clean, lake.name("silver", dataset.name), layout)
+    return audit.counts()
+
 
+def audit(
+    lake: Lake, dataset: Dataset, batch_id: str | None = None, *, strict_keys: bool = True
+) -> DataFrame:
+    """How many bronze rows, of one batch or in all, cleaning removes and why, counted anew.
 
-def audit(lake: Lake, dataset: Dataset, batch_id: str | None = None) -> DataFrame:
-    """How many bronze rows, of one batch or in all, cleaning removes and why."""
-    bronze = lake.table("bronze", dataset.name)
+    The loads keep the same numbers in ``control.load_audit``.
+    """
+    bronze, spec = lake.table("bronze", dataset.name), dataset.spec
     if batch_id is not None:
         bronze = of_batch(bronze, batch_id)
-    return removed_rows(shape(bronze, dataset.spec), dataset.spec.keys)
+    return removed_rows(shape(bronze, spec), spec.keys, spec.keys if strict_keys else spec.checked_keys)
 
 
 def load_lookup(lake: Lake) -> None:
@@ -92,13 +100,16 @@ def run_full_load(
 ) -> None:
     """Landing to views.  The flags relax the stricter defaults: ``strict_keys=False``
     null-checks only the keys each dataset lists, ``arbitrary=True`` keeps any duplicate,
-    ``points="FLOAT"`` keeps points in single precision."""
+    ``points="FLOAT"`` keeps points in single precision.  What cleaning removed is kept in
+    ``control.load_audit``."""
     lake.create_schemas()
+    audits = {}
 
     def refine(dataset: Dataset) -> None:
         load_bronze(lake, dataset, points)
-        load_silver(lake, dataset, strict_keys=strict_keys, arbitrary=arbitrary)
+        audits[dataset.name] = load_silver(lake, dataset, strict_keys=strict_keys, arbitrary=arbitrary)
 
     together(refine, DATASETS)
+    record_audits(lake, audits)
     load_gold(lake)
     build_views(lake)

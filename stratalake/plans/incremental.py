@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stratalake.functions.lineage import BATCH_ID, LINEAGE_COLUMNS, UPDATED_AT, stamp_write_times
 from stratalake.operators.conform import conform
+from stratalake.operators.quality import RowLoss
 from stratalake.plans import control
-from stratalake.plans.datasets import DATASETS, FACT_KEYS, FACT_UPDATE, Dataset
+from stratalake.plans.claims import claimed
+from stratalake.plans.datasets import DATASETS, FACT_KEYS, FACT_UPDATE, RESULTS, SPRINTS, Dataset
 from stratalake.plans.full_load import gold_layout, load_lookup, together
 from stratalake.plans.lake import Lake
 from stratalake.plans.stages import (
@@ -17,6 +20,7 @@ from stratalake.plans.stages import (
     races_dimension,
     scan_landing,
     session_results_fact,
+    written_by,
 )
 from stratalake.plans.views import build_views
 from stratalake.sinks.tables import PLAIN, TableLayout, replace_partition, upsert
@@ -24,6 +28,21 @@ from stratalake.sources.landing import batch_path, valid_batch_id
 
 # A batch must not overwrite a row that a later batch has written.
 NOT_OLDER = f"s.{BATCH_ID} >= t.{BATCH_ID}"
+# Merge keys and updated columns of the gold dimensions.
+DIMENSIONS = {
+    "dim_races": (
+        ("season", "round"),
+        ("race_name", "race_date", "circuit_name", "locality", "country"),
+    ),
+    "dim_constructors": (
+        ("constructor_id",),
+        ("constructor_name", "nationality", "nationality_region"),
+    ),
+    "dim_drivers": (
+        ("driver_id",),
+        ("driver_name", "date_of_birth", "nationality", "nationality_region"),
+    ),
+}
 
 
 def write_silver(
@@ -48,7 +67,7 @@ def write_gold(
     layout: TableLayout = PLAIN,
 ) -> None:
     """Unguarded upsert.  Safe for an old batch, because gold only receives the silver
-    rows that batch wrote last."""
+    rows that batch wrote last.  The merge itself finds out if ``rows`` repeat a key of gold."""
     upsert(stamp_write_times(rows), name, keys=keys, update=[*update, UPDATED_AT], layout=layout)
 
 
@@ -61,15 +80,26 @@ def load_bronze_batch(lake: Lake, dataset: Dataset, batch_id: str, points: str =
 def load_silver_batch(
     lake: Lake, dataset: Dataset, batch_id: str, *, strict_keys: bool = True,
     arbitrary: bool = False,
-) -> None:
+) -> dict[str | None, dict[str, int]]:
+    """Merge one batch; returns what cleaning removed, counted while the rows were written."""
     bronze = of_batch(lake.table("bronze", dataset.name), valid_batch_id(batch_id))
+    audit = RowLoss({batch_id: F.lit(True)})
     write_silver(
-        conform(bronze, dataset.spec, strict_keys=strict_keys, arbitrary=arbitrary),
+        conform(bronze, dataset.spec, strict_keys=strict_keys, arbitrary=arbitrary, audit=audit),
         lake.name("silver", dataset.name),
         dataset.spec.keys,
         dataset.update,
         lake.layout("silver", dataset.name, dataset.layout),
     )
+    return audit.counts()
+
+
+def sessions_written_by(lake: Lake, dataset: Dataset, *batch_ids: str) -> DataFrame:
+    """Silver results or sprints that the batches wrote last, read from their own seasons."""
+    silver = lake.table("silver", dataset.name)
+    if "season" not in lake.layout("silver", dataset.name, dataset.layout).partition_columns:
+        return of_batch(silver, *batch_ids)
+    return written_by(silver, lake.table("bronze", dataset.name), "season", *batch_ids)
 
 
 def load_gold_batch(
@@ -90,38 +120,19 @@ def load_gold_batch(
         return silver(table) if refresh_all else of_batch(silver(table), batch_id)
 
     regions = lake.table("gold", "ref_nationality_region")
-    builds = (
-        (
-            "dim_races",
-            races_dimension(silver("races"), silver("circuits"), batch_id, scope),
-            ("season", "round"),
-            ("race_name", "race_date", "circuit_name", "locality", "country"),
-        ),
-        (
-            "dim_constructors",
-            constructors_dimension(changed("constructors"), regions),
-            ("constructor_id",),
-            ("constructor_name", "nationality", "nationality_region"),
+    builds = {
+        "dim_races": lambda: races_dimension(silver("races"), silver("circuits"), batch_id, scope),
+        "dim_constructors": lambda: constructors_dimension(changed("constructors"), regions),
+        "dim_drivers": lambda: drivers_dimension(changed("drivers"), regions),
+        "fact_session_results": lambda: session_results_fact(
+            sessions_written_by(lake, RESULTS, batch_id), sessions_written_by(lake, SPRINTS, batch_id)
         ),
-        (
-            "dim_drivers",
-            drivers_dimension(changed("drivers"), regions),
-            ("driver_id",),
-            ("driver_name", "date_of_birth", "nationality", "nationality_region"),
-        ),
-        (
-            "fact_session_results",
-            session_results_fact(
-                of_batch(silver("results"), batch_id), of_batch(silver("sprints"), batch_id)
-            ),
-            FACT_KEYS,
-            FACT_UPDATE,
-        ),
-    )
+    }
+    merge_rules = DIMENSIONS | {"fact_session_results": (FACT_KEYS, FACT_UPDATE)}
 
-    def build(item: tuple) -> None:
-        table, rows, keys, update = item
-        write_gold(rows, lake.name("gold", table), keys, update, gold_layout(lake, table))
+    def build(table: str) -> None:
+        keys, update = merge_rules[table]
+        write_gold(builds[table](), lake.name("gold", table), keys, update, gold_layout(lake, table))
 
     together(build, builds)
 
@@ -129,22 +140,35 @@ def load_gold_batch(
 def run_batch(
     lake: Lake, batch_id: str | None, *, strict_keys: bool = True, arbitrary: bool = False,
     scope: str = "driving", refresh_all: bool = False, points: str = "DOUBLE",
+    take_over: bool = False,
 ) -> None:
     """Load one batch through all tiers, from marking it started to marking it completed.
 
-    A batch that fails stays ``in_progress``; running it again repeats it safely.
+    A batch that fails stays ``in_progress``; running it again repeats it safely.  While a batch is
+    loaded nobody else can start it (:class:`~stratalake.plans.claims.BatchClaimed`); ``take_over``
+    repeats a batch whose driver was killed.
     """
     batch_id = valid_batch_id(batch_id)
     lake.create_schemas()
+    with claimed(lake, batch_id, take_over=take_over):
+        _load_batch(lake, batch_id, strict_keys, arbitrary, scope, refresh_all, points)
+
+
+def _load_batch(
+    lake: Lake, batch_id: str, strict_keys: bool = True, arbitrary: bool = False,
+    scope: str = "driving", refresh_all: bool = False, points: str = "DOUBLE",
+) -> None:
     control.start_batch(lake, batch_id)
+    audits = {}
 
     def refine(dataset: Dataset) -> None:
         load_bronze_batch(lake, dataset, batch_id, points)
-        load_silver_batch(
+        audits[dataset.name] = load_silver_batch(
             lake, dataset, batch_id, strict_keys=strict_keys, arbitrary=arbitrary
         )
 
     together(refine, DATASETS)
+    control.record_audits(lake, audits)
     load_lookup(lake)
     load_gold_batch(lake, batch_id, scope=scope, refresh_all=refresh_all)
     build_views(lake)
@@ -152,9 +176,16 @@ def run_batch(
 
 
 def run_next(lake: Lake, **options) -> str | None:
-    """Load the earliest batch that is not tracked yet; ``None`` when there is none."""
+    """Load the earliest batch that is not tracked yet; ``None`` when there is none.
+
+    The batch is claimed before it is looked at again, so that of two drivers that found the same
+    batch only one loads it; the other gets :class:`~stratalake.plans.claims.BatchClaimed` while
+    that goes on, and the batch after it later.
+    """
     lake.create_schemas()
-    batch_id = control.next_batch(lake)
-    if batch_id is not None:
-        run_batch(lake, batch_id, **options)
-    return batch_id
+    while (batch_id := control.next_batch(lake)) is not None:
+        with claimed(lake, batch_id):
+            if batch_id in control.pending_batches(lake):
+                _load_batch(lake, batch_id, **options)
+                return batch_id
+    return None

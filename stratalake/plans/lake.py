@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.sinks.tables import PLAIN, TableLayout, ensure_schema
+from stratalake.sources.landing import BATCH_FOLDER
 
 TIERS = ("bronze", "silver", "gold", "control")
 
@@ -18,7 +19,7 @@ class Lake:
 
     ``layouts`` gives silver and gold tables, named like ``"silver.drivers"``, another
     physical layout than the default when they are created: a very large table is
-    best bucketed by its key.
+    best bucketed by its key.  ``batch_pattern`` says which landing folders are batches.
     """
 
     spark: SparkSession
@@ -27,6 +28,7 @@ class Lake:
     location: str | None = None
     catalog: str = "spark_catalog"
     layouts: Mapping[str, TableLayout] = field(default_factory=dict)
+    batch_pattern: str = BATCH_FOLDER
 
     def schema(self, tier: str) -> str:
         return f"{self.catalog}.{self.prefix}{tier}"
@@ -44,6 +46,10 @@ class Lake:
     def control_table(self) -> str:
         return self.name("control", "batch_control")
 
+    @property
+    def audit_table(self) -> str:
+        return self.name("control", "load_audit")
+
     def create_schemas(self) -> None:
         for tier in TIERS:
             folder = f"{self.location.rstrip('/')}/{tier}" if self.location else None

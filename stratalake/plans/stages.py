@@ -35,8 +35,25 @@ def scan_landing(
     return add_ingestion_metadata(rows)
 
 
-def of_batch(rows: DataFrame, batch_id: str) -> DataFrame:
-    return rows.where(F.col(BATCH_ID) == F.lit(batch_id))
+def of_batch(rows: DataFrame, *batch_ids: str) -> DataFrame:
+    """The rows of one batch, or of several."""
+    if len(batch_ids) == 1:
+        return rows.where(F.col(BATCH_ID) == F.lit(batch_ids[0]))
+    return rows.where(F.col(BATCH_ID).isin(*batch_ids))
+
+
+def written_by(silver: DataFrame, bronze: DataFrame, column: str, *batch_ids: str) -> DataFrame:
+    """The rows of a silver table partitioned by ``column`` that the batches wrote last.
+
+    Only the partitions that the batches' own bronze rows reach are read: their values, one row per
+    partition at most, are broadcast and prune the scan when it starts.
+    """
+    reached = of_batch(bronze, *batch_ids).select(column).distinct()
+    return (
+        of_batch(silver, *batch_ids)
+        .join(F.broadcast(reached), column, "left_semi")
+        .select(silver.columns)
+    )
 
 
 def nationality_regions(spark: SparkSession) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 import time
 import uuid
 from collections.abc import Sequence
@@ -22,17 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratalake.operators.conform import keys_present
-from stratalake.operators.merge import merge_rows
-from stratalake.storage import delete_folder, list_folders, staged
+from stratalake.operators.merge import AMBIGUOUS, REPEATED, merge_rows
+from stratalake.storage import delete_folder, list_folders, staged_files
 
-# An upsert source up to this many rows, and this many times smaller than the target, is
-# merged without moving the target.
-SMALL_SOURCE_ROWS = 1_000_000
-SMALL_SOURCE_SHARE = 10
 # An upsert that reaches more partitions than this rearranges its rows by partition before
 # writing; otherwise every task would write a small file into each of them.
 PARTITIONS_PER_WRITING_TASK = 4
+PARTITIONS_PER_CALL = 500  # partitions added by one catalog statement
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Values Spark writes into folder names as they are.
 _PLAIN_VALUE = re.compile(r"[A-Za-z0-9_. -]+")
@@ -42,15 +38,21 @@ _PLAIN_VALUE = re.compile(r"[A-Za-z0-9_. -]+")
 class TableLayout:
     """Physical layout.
 
-    ``partition_by`` should be part of the merge key: an upsert then rewrites
+    ``partition_by``, a column or several, should be part of the merge key: an upsert then rewrites
     only the partitions its source touches.  Bucketing by the (other) key columns
     lets the merge join read the target without shuffling it.
     """
 
-    partition_by: str | None = None
+    partition_by: str | tuple[str, ...] | None = None
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
 
+    @property
+    def partition_columns(self) -> tuple[str, ...]:
+        if isinstance(self.partition_by, str):
+            return (self.partition_by,)
+        return self.partition_by or ()
+
 
 PLAIN = TableLayout()
 
@@ -87,7 +89,8 @@ def ensure_table(
 ) -> None:
     """Create an empty table if absent."""
     ddl = columns if isinstance(columns, str) else _columns_ddl(columns)
-    partitioned = f"PARTITIONED BY (`{layout.partition_by}`)" if layout.partition_by else ""
+    names = ", ".join(f"`{column}`" for column in layout.partition_columns)
+    partitioned = f"PARTITIONED BY ({names})" if names else ""
     bucketed = ""
     if layout.bucket_by:
         names = ", ".join(f"`{column}`" for column in layout.bucket_by)
@@ -132,7 +135,7 @@ def _write_version(df: DataFrame, name: str, layout: TableLayout) -> tuple[str,
     loading = f"{name.rsplit('.', 1)[0]}.loading_{uuid.uuid4().hex}"
     writer = df.write.option("path", path)
     if layout.partition_by:
-        writer = writer.partitionBy(layout.partition_by)
+        writer = writer.partitionBy(*layout.partition_columns)
     if layout.bucket_by:
         writer = writer.bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by)
     writer.saveAsTable(loading)
@@ -151,16 +154,21 @@ def _clustered(df: DataFrame, layout: TableLayout) -> DataFrame:
     if layout.bucket_by:
         return df.repartition(layout.buckets, *layout.bucket_by)
     if layout.partition_by:
-        return df.hint("rebalance", layout.partition_by)
+        return df.hint("rebalance", *layout.partition_columns)
     return df
 
 
 def _partition_clause(folder: str) -> str:
-    column, value = folder.split("=", 1)
-    if value == _NULL_PARTITION:
-        return f"PARTITION (`{column}` = null)"
-    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"PARTITION (`{column}` = '{text}')"
+    """``PARTITION (...)`` for a partition folder such as ``season=2025/round=3``."""
+
+    def part(text: str) -> str:
+        column, value = text.split("=", 1)
+        if value == _NULL_PARTITION:
+            return f"`{column}` = null"
+        plain = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{column}` = '{plain}'"
+
+    return f"PARTITION ({', '.join(map(part, folder.split('/')))})"
 
 
 def _partitions(spark: SparkSession, name: str) -> set[str]:
@@ -169,13 +177,15 @@ def _partitions(spark: SparkSession, name: str) -> set[str]:
 
 
 def _point_partitions(spark: SparkSession, name: str, paths: dict[str, str]) -> None:
-    """Point each partition at its folder, adding the ones the catalog does not know yet."""
-    known = _partitions(spark, name)
-    new = [folder for folder in paths if folder not in known]
-    if new:
-        added = " ".join(f"{_partition_clause(f)} LOCATION '{paths[f]}'" for f in new)
+    """Point each partition at its folder, adding the ones the catalog does not know yet.
+
+    The catalog is asked about these partitions only, however many the table has."""
+    folders = sorted(paths)
+    for first in range(0, len(folders), PARTITIONS_PER_CALL):
+        some = folders[first : first + PARTITIONS_PER_CALL]
+        added = " ".join(f"{_partition_clause(f)} LOCATION '{paths[f]}'" for f in some)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
-    for folder in paths.keys() & known:
+    for folder in folders:
         clause = _partition_clause(folder)
         spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION '{paths[folder]}'")
 
@@ -199,9 +209,7 @@ def _stored_layout(spark: SparkSession, name: str) -> TableLayout:
     if ("# Partition Information", "") in rows:
         start = rows.index(("# Partition Information", "")) + 2  # skip the header line
         names = [text for text, _ in rows[start : rows.index(("", ""), start)]]
-        if len(names) > 1:
-            raise ValueError(f"{name} has several partition columns: {names}")
-        partition_by = names[0]
+        partition_by = names[0] if len(names) == 1 else tuple(names)
     buckets = int(details.get("Num Buckets", 0))
     listed = details.get("Bucket Columns", "[]").strip("[]")
     bucket_by = tuple(part.strip().strip("`") for part in listed.split(",")) if buckets else ()
@@ -264,64 +272,29 @@ def replace_partition(df: DataFrame, name: str, column: str, value: str) -> None
     spark.catalog.refreshTable(name)
 
 
-@dataclass(frozen=True)
-class _SourceProfile:
-    rows: int
-    repeats: bool
-    partitions: list
-    null_partition: bool
-
+def _reached(target: DataFrame, columns: Sequence[str], rows: DataFrame) -> tuple[DataFrame, int]:
+    """The partitions of ``target`` that ``rows`` reach, and their number.
 
-def _profile(
-    source: DataFrame, keys: Sequence[str], column: str | None, unique: bool
-) -> _SourceProfile:
-    """What an upsert has to know about its source, from one aggregation.
-
-    The partition values are those of one catalog table, each of which gets its
-    own catalog update later, so they fit the driver.
+    The values are those of single catalog partitions, each of which gets its own catalog update
+    later, so they fit the driver; as literals they prune the scan.
     """
-    one = F.lit(1).cast("long")
-    if unique:
-        counted = source.withColumn("__n", one)
-    else:
-        counted = source.groupBy(*keys).agg(F.count(one).alias("__n"))
-    wanted = [
-        F.sum("__n").alias("rows"),
-        F.max(F.when(keys_present(keys), F.col("__n"))).alias("most"),
-    ]
-    if column:
-        wanted.append(F.collect_set(column).alias("values"))
-        wanted.append(F.count_if(F.col(column).isNull()).alias("nulls"))
-    found = counted.agg(*wanted).first()
-    return _SourceProfile(
-        rows=found.rows or 0,
-        repeats=(found.most or 0) > 1,
-        partitions=found["values"] if column else [],
-        null_partition=bool(column) and found.nulls > 0,
-    )
-
+    found = [tuple(row) for row in rows.select(*columns).distinct().collect()]
+    whole = [values for values in found if None not in values]
+    tests = [F.lit(False)]
+    if whole and len(columns) == 1:
+        tests.append(F.col(columns[0]).isin([value for (value,) in whole]))
+    elif whole:
+        each = [F.col(c).isin(sorted({values[i] for values in whole})) for i, c in enumerate(columns)]
+        pairs = F.struct(*columns).isin([F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, values)]) for values in whole])
+        tests.append(reduce(and_, each) & pairs)
+    for values in (values for values in found if None in values):
+        tests.append(reduce(and_, [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(columns, values)]))
+    return target.where(reduce(or_, tests)), len(found)
 
-def _reached(target: DataFrame, column: str, source: _SourceProfile) -> DataFrame:
-    """The partitions the source reaches; literal values, so that the scan is pruned."""
-    reached = F.col(column).isin(source.partitions)
-    return target.where(reached | F.col(column).isNull() if source.null_partition else reached)
 
-
-def _require_single_match(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], match: str | None
-) -> None:
-    """Two source rows must not meet the same target row: the result would be arbitrary."""
-    repeated = (
-        source.where(keys_present(keys)).groupBy(*keys).count().where("count > 1").drop("count")
-    )
-    rows = source.join(repeated, list(keys), "left_semi").alias("s")
-    on = reduce(and_, [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys])
-    if match:
-        on = on & F.expr(match)
-    met = target.alias("t").join(rows, on).select("t.*")
-    example = met.groupBy(*target.columns).count().where("count > 1").select(*keys).first()
-    if example is not None:
-        raise ValueError(f"several source rows match one target row, for example {example}")
+def _broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which Spark broadcasts a side of a join; -1 when it does not."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def upsert(
@@ -339,10 +312,11 @@ def upsert(
 ) -> None:
     """Merge ``source`` into the table (see :func:`merge_rows`), creating it on first use.
 
-    In a partitioned table only the partitions the source reaches are read and
-    rewritten.  ``unique_source`` says that the source holds each key once, which
-    saves the duplicate check.  Whether the source is small next to the target is
-    counted unless ``small_source`` says so.
+    In a partitioned table only the partitions the source reaches are read and rewritten.  The
+    source is written down once, so that all uses see the same rows; the bytes of this copy decide
+    the plan unless ``small_source`` does: what Spark would broadcast is broadcast.  Several source
+    rows for one target row, and any repeated key under ``unique_source``, are found by the merge
+    itself, which then writes nothing.
     """
     spark = source.sparkSession
     if not spark.catalog.tableExists(name):
@@ -351,41 +325,40 @@ def upsert(
         overwrite(source, name, layout)
         return
     layout = _stored_layout(spark, name)
-    if layout.partition_by and layout.partition_by not in keys:
-        raise ValueError(f"{name} is partitioned by {layout.partition_by}, which is not a merge key")
+    strange = [column for column in layout.partition_columns if column not in keys]
+    if strange:
+        raise ValueError(f"{name} is partitioned by {strange[0]}, which is not a merge key")
     target = spark.table(name)
 
-    def merge(
-        rows: DataFrame, reached: DataFrame, small: bool, partitions: int = 0
-    ) -> tuple[str, set[str]]:
+    def merge(rows: DataFrame, reached: DataFrame, small: bool, partitions: int = 0) -> tuple[str, set[str]]:
         merged = merge_rows(
-            reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert,
-            small_source=small, bucketed=bool(layout.bucket_by),
+            reached, rows, keys=keys, update=update, guard=guard, match=match, insert=insert, small_source=small,
+            unique_source=unique_source, buckets=(layout.buckets, layout.bucket_by) if layout.bucket_by else None,
         )
         if not layout.bucket_by and partitions > PARTITIONS_PER_WRITING_TASK:
             merged = _clustered(merged, layout)
-        return _write_version(merged, name, layout)
-
-    if unique_source and small_source is not None and not layout.partition_by:
-        path, partitions = merge(source, target, small_source)  # nothing to find out first
+        try:
+            return _write_version(merged, name, layout)
+        except Exception as error:
+            if any(reason in str(error) for reason in (AMBIGUOUS, REPEATED)):
+                raise ValueError(f"{name}: {_reason(str(error))}") from error
+            raise
+
+    if small_source is False and not layout.partition_by:
+        path, partitions = merge(source, target, False)  # one use of the source, nothing to find out
     else:
-        # Written down once, so that all jobs below see the same rows.
-        with staged(source, "upsert") as rows:
-            profile = _profile(rows, keys, layout.partition_by, unique_source)
-            if layout.partition_by:
-                target = _reached(target, layout.partition_by, profile)
-            if profile.repeats:
-                _require_single_match(target, rows, keys, match)
-            if small_source is None:
-                small_source = (
-                    not layout.bucket_by
-                    and profile.rows <= SMALL_SOURCE_ROWS
-                    and target.count() >= SMALL_SOURCE_SHARE * profile.rows
-                )
-            path, partitions = merge(rows, target, small_source, len(profile.partitions))
+        with staged_files(source, "upsert") as (rows, size):
+            reached, number = _reached(target, layout.partition_columns, rows) if layout.partition_by else (target, 0)
+            small = not layout.bucket_by and size <= _broadcast_limit(spark) if small_source is None else small_source
+            path, partitions = merge(rows, reached, small, number)
     _publish(spark, name, path, partitions, layout.partition_by is not None)
 
 
+def _reason(text: str) -> str:
+    """The line of an error message that says which key is at fault."""
+    return next(line for line in text.splitlines() if AMBIGUOUS in line or REPEATED in line)
+
+
 # -- clean-up -----------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,6 +44,36 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def create_new_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file holding ``text``; false when it exists already."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or fs.exists(hadoop_path):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; ``None`` when it is not there."""
+    fs, hadoop_path = _file_system(spark, path)
+    try:
+        stream = fs.open(hadoop_path)
+    except Py4JJavaError:
+        return None
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def list_folders(spark: SparkSession, path: str) -> dict[str, int]:
     """Names of the direct subfolders, each with its modification time in milliseconds.
 
@@ -59,9 +90,15 @@ def list_folders(spark: SparkSession, path: str) -> dict[str, int]:
     }
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 @contextmanager
-def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
-    """Write ``df`` once, hand out the written copy, delete it afterwards.
+def staged_files(df: DataFrame, label: str = "stage") -> Iterator[tuple[DataFrame, int]]:
+    """Write ``df`` once, hand out the written copy and its bytes, delete it afterwards.
 
     Use it when a result feeds several jobs or must not change between them.
     The copy is only valid inside the ``with`` block.
@@ -70,11 +107,18 @@ def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path)
     finally:
         delete_folder(spark, path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """The written copy of :func:`staged_files` alone."""
+    with staged_files(df, label) as (copy, _):
+        yield copy
+
+
 def written_copy(df: DataFrame, label: str = "copy") -> DataFrame:
     """Like ``DataFrame.checkpoint`` but stored as parquet: the lineage is cut, and the
     files stay in the checkpoint folder for as long as that folder is kept."""

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from stratalake.functions import add_ingestion_metadata
-from stratalake.sources import batch_path, landing_batches, read_csv, read_json, valid_batch_id
+from stratalake.sources import batch_path, in_time_order, landing_batches, read_csv, read_json, valid_batch_id
 from tests.conftest import rows
 
 SCHEMA = "a STRING, b INT, d DATE"
@@ -104,13 +104,17 @@ def test_batch_ids():
             valid_batch_id(wrong)
 
 
-def test_landing_batches_lists_folders_in_order(spark, tmp_path):
+def test_landing_batches_are_the_folders_that_fit_the_pattern(spark, tmp_path):
     landing = tmp_path / "landing"
     assert landing_batches(spark, str(landing)) == []
-    for name in ("2025-02", "2025-01"):
+    for name in ("2025-02", "2025-01", "archive", "old", "_tmp", ".staging", "7 of it"):
         (landing / name).mkdir(parents=True)
-    put(landing / "readme.txt", "not a batch")
-    assert landing_batches(spark, str(landing)) == ["2025-01", "2025-02"]
-    (landing / "2025-003").mkdir()
-    with pytest.raises(ValueError, match="differ in length"):
-        landing_batches(spark, str(landing))
+    put(landing / "2025-03", "not a folder")
+    assert sorted(landing_batches(spark, str(landing))) == ["2025-01", "2025-02"]
+    assert sorted(landing_batches(spark, str(landing), "old|arch.*")) == ["archive", "old"]
+
+
+def test_ids_of_one_length_have_an_order_in_time():
+    assert in_time_order(["2025-02", "2025-01"]) == ["2025-01", "2025-02"] and in_time_order([]) == []
+    with pytest.raises(ValueError, match="differ in length.*2025-003"):
+        in_time_order(["2025-01", "2025-003", "2025-02"])

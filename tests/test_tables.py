@@ -205,7 +205,7 @@ def test_partitioned_upsert_rewrites_only_reached_partitions(spark, lake):
         upsert(frame(spark, [(2, "B", "y")]), name, keys=["v"], update=["batch_id"])
 
 
-def test_size_of_the_source_decides_the_join(spark, lake, monkeypatch):
+def test_bytes_of_the_staged_source_decide_the_join(spark, lake, monkeypatch):
     name, chosen = lake.name("silver", "t"), []
 
     def recording(*args, small_source, **options):
@@ -214,10 +214,14 @@ def test_size_of_the_source_decides_the_join(spark, lake, monkeypatch):
 
     monkeypatch.setattr(tables, "merge_rows", recording)
     overwrite(spark.range(40).selectExpr("cast(id AS int) AS k", "'a' AS v", "'1' AS batch_id"), name)
-    for size in (4, 5):
-        change = [(k, "b", "2") for k in range(size)]
-        upsert(frame(spark, change), name, keys=["k"], update=["v"])
-    assert chosen == [True, False]
+    change = frame(spark, [(k, "b", "2") for k in range(5)])
+    for limit in ("10m", "100b", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            upsert(change, name, keys=["k"], update=["v"])
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert chosen == [True, False, False]
     assert spark.table(name).where("v = 'b'").count() == 5
 
 
@@ -267,7 +271,7 @@ def test_bucketed_merge_does_not_shuffle_the_target(spark, lake):
     name = lake.name("silver", "t")
     ids = spark.range(1000).selectExpr("cast(id AS int) AS k", "'a' AS v", "'b' AS batch_id")
     overwrite(ids, name, TableLayout(bucket_by=("k",), buckets=4))
-    merged = merge_rows(spark.table(name), ids, keys=["k"], update=["v"], bucketed=True)
+    merged = merge_rows(spark.table(name), ids, keys=["k"], update=["v"], buckets=(4, ["k"]))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = merged._jdf.queryExecution().executedPlan().toString()
