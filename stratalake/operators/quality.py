@@ -43,6 +43,9 @@ class RowLoss:
     The step passes its input through :meth:`entering` and its output through :meth:`leaving`.
     Once one action has computed the output, :meth:`counts` has the numbers, one set for each
     label of ``parts`` (conditions on rows; by default all rows under ``None``).
+
+    Where Spark finds out on the way that nothing is left, it cuts the rest of the plan off and may
+    lose the numbers of the input with it; then, and only then, the input is counted by a job.
     """
 
     def __init__(self, parts: dict[str | None, Column] | None = None):
@@ -55,6 +58,7 @@ class RowLoss:
         counts = []
         for i, part in enumerate(self.parts.values()):
             counts += [F.count_if(part).alias(f"rows_{i}"), F.count_if(part & bad).alias(f"bad_{i}")]
+        self._recount = lambda: df.agg(*counts).first().asDict()
         return df.observe(self._before, *counts)
 
     def leaving(self, df: DataFrame) -> DataFrame:
@@ -63,10 +67,13 @@ class RowLoss:
 
     def counts(self) -> dict[str | None, dict[str, int]]:
         """Per label the columns of :func:`removed_rows`."""
-        before, after = self._before.get, self._after.get
+        before, after = _observed(self._before), _observed(self._after)
+        if before is None:
+            before = self._recount()
         found = {}
         for i, label in enumerate(self.parts):
-            rows, bad, out = before[f"rows_{i}"], before[f"bad_{i}"], after[f"rows_{i}"]
+            rows, bad = before[f"rows_{i}"], before[f"bad_{i}"]
+            out = after[f"rows_{i}"] if after else 0  # the output is left out only if it is empty
             found[label] = {
                 "rows_in": rows,
                 "invalid_rows": bad,
@@ -75,3 +82,8 @@ class RowLoss:
                 "rows_out": out,
             }
         return found
+
+
+def _observed(observation: Observation) -> dict[str, int] | None:
+    """The metrics, or ``None`` when the step was not part of the plan that ran in the end."""
+    return observation.get if observation._jo.getRow().length() else None

@@ -71,11 +71,15 @@ def last_writers(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def history(existing: DataFrame | None, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every state of a row: the existing one, then the versions that a guarded merge accepts, with
-    the batch each holds from (null: before the backlog) and the batch it is replaced by."""
+    the batch each holds from (null: before the backlog) and the batch it is replaced by.  Rows with
+    a null key are never replaced."""
     versions = versions.withColumn(SINCE, F.col(BATCH_ID))
     if existing is not None:
         old = existing.select(*[c for c in versions.columns if c != SINCE]).withColumn(SINCE, F.lit(None).cast("string"))
         versions = versions.unionByName(old)
+    can_match, never = keys_present(keys), F.lit(None).cast("string")
+    loose = versions.where(~can_match).withColumn(UNTIL, never)
+    versions = versions.where(can_match)
     of_key = Window.partitionBy(*keys)
     loaded = F.max(F.when(F.col(SINCE).isNull(), F.col(BATCH_ID))).over(of_key)
     accepted = F.col(SINCE).isNull() | loaded.isNull() | (F.col(BATCH_ID) >= loaded)
@@ -84,6 +88,7 @@ def history(existing: DataFrame | None, versions: DataFrame, keys: Sequence[str]
         .where("__accepted")
         .drop("__accepted")
         .withColumn(UNTIL, F.lead(SINCE).over(of_key.orderBy(F.col(SINCE).asc_nulls_first())))
+        .unionByName(loose)
     )
 
 
@@ -101,8 +106,9 @@ def races_of_backlog(races: DataFrame, circuits: DataFrame) -> DataFrame:
     since = F.greatest(f"r.{SINCE}", f"c.{SINCE}")  # skips nulls; null if both are
     pairs = r.join(c, (F.col("r.circuit_id") == F.col("c.circuit_id")) & same_time).where(since.isNotNull())
     columns = ["season", "round", "race_name", "race_date", "circuit_name", "locality", "country"]
-    named = pairs.select(since.alias(SINCE), *columns)
-    return first_per_key(named, ("season", "round"), [F.col(SINCE).desc()]).drop(SINCE)
+    named, keys = pairs.select(since.alias(SINCE), *columns), ("season", "round")
+    last = first_per_key(named.where(keys_present(keys)), keys, [F.col(SINCE).desc()])
+    return last.unionByName(named.where(~keys_present(keys))).drop(SINCE)
 
 
 def _silver_or_none(lake: Lake, dataset: Dataset) -> DataFrame | None:
@@ -116,12 +122,24 @@ def _merge_races(lake: Lake, batch_ids: Sequence[str], **options) -> None:
     sides = []
     for dataset in (RACES, CIRCUITS):
         versions = cleaned_batches(lake, dataset, batch_ids, **options)
-        versions = versions.where(keys_present(dataset.spec.keys))
         sides.append(history(_silver_or_none(lake, dataset), versions, dataset.spec.keys))
     keys, update = DIMENSIONS["dim_races"]
     write_gold(races_of_backlog(*sides), lake.name("gold", "dim_races"), keys, update, gold_layout(lake, "dim_races"))
 
 
+def load_silver_backlog(
+    lake: Lake, dataset: Dataset, batch_ids: Sequence[str], **options
+) -> dict[str | None, dict[str, int]]:
+    """Merge the last writer of every key; returns what cleaning removed from each batch."""
+    audit = RowLoss({batch_id: F.col(BATCH_ID) == batch_id for batch_id in batch_ids})
+    with staged(cleaned_batches(lake, dataset, batch_ids, audit, **options), "backlog") as rows:
+        write_silver(
+            last_writers(rows, dataset.spec.keys), lake.name("silver", dataset.name), dataset.spec.keys,
+            dataset.update, lake.layout("silver", dataset.name, dataset.layout),
+        )
+    return audit.counts()
+
+
 def run_backlog(
     lake: Lake, batch_ids: Sequence[str] | None = None, *, strict_keys: bool = True,
     arbitrary: bool = False, points: str = "DOUBLE", refresh_all: bool = False, take_over: bool = False,
@@ -146,13 +164,7 @@ def run_backlog(
         audits = {}
 
         def refine(dataset: Dataset) -> None:
-            audit = RowLoss({batch_id: F.col(BATCH_ID) == batch_id for batch_id in ids})
-            with staged(cleaned_batches(lake, dataset, ids, audit, **options), "backlog") as rows:
-                write_silver(
-                    last_writers(rows, dataset.spec.keys), lake.name("silver", dataset.name), dataset.spec.keys,
-                    dataset.update, lake.layout("silver", dataset.name, dataset.layout),
-                )
-            audits[dataset.name] = audit.counts()
+            audits[dataset.name] = load_silver_backlog(lake, dataset, ids, **options)
 
         together(refine, DATASETS)
         control.record_audits(lake, audits)

@@ -361,3 +361,122 @@ def test_repeated_source_keys_are_judged_by_the_match(spark, lake):
     assert rows(spark.table(name)) == [(1, "q"), (1, "x"), (2, "y"), (2, "z")]
     with pytest.raises(ValueError, match="several source rows"):
         upsert(spark.createDataFrame([(2, "m"), (2, "n")], "k int, v string"), name, keys=["k"], update=["v"], match="s.v <> t.v")
+
+
+def test_equal_target_rows_are_judged_one_by_one(spark, lake):
+    """Each of two equal target rows meets one source row: no error, also with columns that cannot
+    be compared or grouped."""
+    schema = "k int, v string, m map<string, int>"
+    source = frame(spark, [(1, "p", {"a": 1}), (1, "q", {"b": 2}), (3, "p", None), (3, "p", None)], schema)
+    for small in (True, False, None):
+        name = lake.name("silver", f"t_{small}")
+        overwrite(frame(spark, [(1, "x", None), (1, "x", None), (None, "n", None)], schema), name)
+        upsert(source, name, keys=["k"], update=["v", "m"], match="s.v = 'p'", small_source=small)
+        got = [(r.k, r.v, r.m) for r in spark.table(name).collect()]
+        assert sorted(got, key=repr) == sorted(
+            [(1, "p", {"a": 1})] * 2 + [(1, "q", {"b": 2}), (None, "n", None)] + [(3, "p", None)] * 2, key=repr
+        )
+        both = frame(spark, [(1, "s", None), (1, "t", None)], schema)
+        with pytest.raises(ValueError, match='several source rows.*"k":1'):
+            upsert(both, name, keys=["k"], update=["v"], match="s.v <> t.v", small_source=small)
+        assert spark.table(name).count() == 6
+
+
+@pytest.mark.parametrize("small", [True, False, None])
+def test_a_wrong_unique_source_is_found_out(spark, lake, small):
+    name = lake.name("silver", "t")
+    overwrite(frame(spark, START), name)
+    for twice in ([(1, "x", "3"), (1, "y", "3")], [(9, "x", "3"), (9, "y", "3")]):
+        with pytest.raises(ValueError, match="repeats a key"):
+            upsert(frame(spark, twice), name, keys=["k"], update=["v"], unique_source=True, small_source=small)
+    assert rows(spark.table(name), "k", "v", "batch_id") == sorted(START, key=repr)
+    nulls = [(None, "x", "3"), (None, "y", "3"), (1, "z", "3")]
+    upsert(frame(spark, nulls), name, keys=["k"], update=["v"], unique_source=True, small_source=small)
+    assert spark.table(name).count() == len(START) + 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_that_cannot_match_leave_the_join(spark, lake, no_broadcasts):
+    """A third of the keys are null on both sides: a bucketed target is read in place all the same."""
+    name = lake.name("silver", "t")
+    key = F.when(F.col("id") % 3 != 0, F.col("id")).cast("int")
+    old = spark.range(900).select(key.alias("k"), F.lit("old").alias("v"), F.lit("1").alias("batch_id"))
+    new = spark.range(300, 1500).select(key.alias("k"), F.lit("new").alias("v"), F.lit("2").alias("batch_id"))
+    overwrite(old, name, TableLayout(bucket_by=("k",), buckets=4))
+    merged = merge_rows(spark.table(name), new, keys=["k"], update=["v"], buckets=(4, ["k"]))
+    assert plan_of(merged).count("Exchange") == 1, plan_of(merged)
+    upsert(new, name, keys=["k"], update=["v", "batch_id"])
+    table = spark.table(name)
+    assert table.where("k is null").groupBy("v").count().orderBy("v").collect() == [("new", 400), ("old", 300)]
+    assert table.where("k is not null").groupBy("v").count().orderBy("v").collect() == [("new", 800), ("old", 200)]
+
+
+def test_an_unbroadcast_source_costs_two_exchanges(spark, lake, no_broadcasts):
+    name, source = lake.name("silver", "t"), lake.name("silver", "s")
+    ids = spark.range(100).selectExpr("cast(id AS int) AS k", "'a' AS v", "'1' AS batch_id")
+    overwrite(ids, name)
+    overwrite(ids, source)
+    for options in ({}, {"guard": GUARD}, {"unique_source": True}):
+        merged = merge_rows(spark.table(name), spark.table(source), keys=["k"], update=["v"], **options)
+        assert plan_of(merged).count("Exchange") == 2
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    target=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.sampled_from("ab")), max_size=6),
+    source=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.sampled_from("abc")), max_size=4, unique_by=lambda r: r[0]),
+    insert=st.booleans(), match=st.sampled_from([None, "t.v <> s.v", "s.v = 'a'"]),
+)
+def test_both_plans_follow_the_merge_rules(spark, target, source, insert, match):
+    def fits(t, s):
+        return t[0] is not None and t[0] == s[0] and (match is None or (t[1] != s[1] if "t.v" in match else s[1] == "a"))
+
+    want = [next((s for s in source if fits(t, s)), t) for t in target]
+    if insert:
+        want += [s for s in source if not any(fits(t, s) for t in target)]
+    schema = "k int, v string"
+    for small in (True, False):
+        merged = merge_rows(
+            frame(spark, target, schema), frame(spark, source, schema), keys=["k"], update=["v"], match=match,
+            insert=insert, small_source=small,
+        )
+        assert rows(merged) == sorted(want, key=repr)
+
+
+def test_partitions_of_several_columns(spark, lake, monkeypatch):
+    """An upsert rewrites the pairs it reaches, not their seasons, and asks the catalog about no other."""
+    name = lake.name("gold", "t")
+    schema, layout = "season int, round int, k int, v string", TableLayout(partition_by=("season", "round"))
+    overwrite(frame(spark, [(s, r, s * r, "a") for s in (1, 2, 3) for r in (1, 2)] + [(1, None, 0, "n")], schema), name, layout)
+    assert tables._stored_layout(spark, name) == layout
+    before = set(spark.table(name).inputFiles())
+    asked, sql = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: asked.append(text) or sql(self, text, *a, **b))
+    change = [(1, 1, 1, "B"), (3, 2, 6, "C"), (3, 2, 7, "new"), (4, 1, 4, "new"), (1, None, 0, "again")]
+    upsert(frame(spark, change, schema), name, keys=["season", "round", "k"], update=["v"])
+    monkeypatch.undo()
+    assert not [text for text in asked if text == f"SHOW PARTITIONS {name}"]
+    got = spark.table(name).select("season", "round", "k", "v")
+    assert rows(got) == sorted(
+        [(1, 1, 1, "B"), (1, 2, 2, "a"), (2, 1, 2, "a"), (2, 2, 4, "a"), (3, 1, 3, "a"), (3, 2, 6, "C"),
+         (3, 2, 7, "new"), (4, 1, 4, "new"), (1, None, 0, "n"), (1, None, 0, "again")], key=repr,
+    )
+    kept = {f.split("season=")[1].split("/part")[0] for f in before & set(spark.table(name).inputFiles())}
+    assert kept == {"1/round=2", "2/round=1", "2/round=2", "3/round=1"}
+    pruned = got.where("season = 3 AND round = 2").inputFiles()
+    assert all("season=3/round=2" in f for f in pruned)
+    overwrite(frame(spark, [(3, 2, 6, "only")], schema), name)
+    assert rows(spark.table(name), "season", "round", "k", "v") == [(3, 2, 6, "only")]
+    with pytest.raises(ValueError, match="partitioned by round, which is not a merge key"):
+        upsert(frame(spark, change, schema), name, keys=["season", "k"], update=["v"])
+    assert len(prune_versions(spark, name, older_than_hours=0)) == 2

@@ -154,15 +154,16 @@ SUPPLIER_SPEC = ConformSpec(
 
 @query(
     """
-    SELECT s_suppkey AS circuit_id, s_name AS circuit_name, s_acctbal AS latitude,
+    SELECT s_suppkey AS circuit_id, s_name AS circuit_name, s_acctbal + 1 AS latitude,
            s_nationkey AS locality_id
     FROM supplier
     """
 )
 def conform_circuits(spark, sf_dir):
-    """Single key, rename, title case; every supplier arrives twice, once in capitals."""
+    """Single key, rename, title case; every supplier arrives twice, once in capitals and further
+    north.  Capitals come first in the order of duplicates."""
     suppliers = load(spark, sf_dir, "supplier")
-    shouting = suppliers.withColumn("s_name", F.upper("s_name"))
+    shouting = suppliers.withColumns({"s_name": F.upper("s_name"), "s_acctbal": F.col("s_acctbal") + 1})
     return conform(suppliers.unionByName(shouting), SUPPLIER_SPEC)
 
 
@@ -207,13 +208,14 @@ CUSTOMER_SPEC = ConformSpec(
 
 @query(
     """
-    SELECT c_custkey AS driver_id, c_mktsegment[1] || lower(c_mktsegment[2:]) AS nationality,
+    SELECT c_custkey AS driver_id, segment[1] || lower(segment[2:]) AS nationality,
            concat_ws(' ', 'Customer', nullif(c_name[10:], '000000007')) AS driver_name
-    FROM customer
+    FROM (SELECT *, least(c_mktsegment, reverse(c_mktsegment)) AS segment FROM customer)
     """
 )
 def conform_drivers(spark, sf_dir):
-    """A nested name is flattened; one customer lacks a family name."""
+    """A nested name is flattened; one customer lacks a family name.  Every customer arrives twice,
+    once with the segment spelled backwards; the first in text order stays."""
     rows = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("driverId"),
         F.struct(
@@ -223,7 +225,8 @@ def conform_drivers(spark, sf_dir):
         F.col("c_mktsegment").alias("nationality"),
         F.lit("none").alias("url"),
     )
-    return conform(rows, CUSTOMER_SPEC)
+    backwards = rows.withColumn("nationality", F.reverse("nationality"))
+    return conform(rows.unionByName(backwards), CUSTOMER_SPEC)
 
 
 RESULT_SPEC = ConformSpec(

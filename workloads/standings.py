@@ -342,3 +342,21 @@ def title_case_text(spark, sf_dir):
         },
     )
     return title_case(rows, ["o_orderpriority", "customer"])
+
+
+@query(
+    """
+    SELECT season, driver_id, driver_name, standing, race_starts, total_points, number_of_wins, number_of_podiums
+    FROM (SELECT *, (rank() OVER (PARTITION BY season ORDER BY total_points DESC, number_of_wins DESC))::INTEGER AS standing
+          FROM (SELECT year(l_shipdate)::INTEGER AS season, c_custkey AS driver_id, c_name AS driver_name,
+                       count(*) AS race_starts, sum((l_quantity / 4)::FLOAT::DOUBLE) AS total_points,
+                       count(*) FILTER (WHERE l_linenumber = 1) AS number_of_wins,
+                       count(*) FILTER (WHERE l_linenumber <= 3) AS number_of_podiums
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+                GROUP BY ALL))
+    """
+)
+def points_float_sum(spark, sf_dir):
+    """Points kept in single precision, with fractions: totals are exact and equal totals tie."""
+    rows = session_rows(spark, sf_dir).withColumn("points", (F.col("points") / 4).cast("float"))
+    return standings(add_result_flags(rows), drivers(spark, sf_dir), "driver_id", ["driver_name"])

@@ -9,7 +9,15 @@ from stratalake.functions import stamp_write_times
 from stratalake.operators import first_per_key
 from stratalake.plans.incremental import NOT_OLDER
 from stratalake.plans.stages import of_batch
-from stratalake.sinks import TableLayout, append, delete_all, overwrite, replace_partition, upsert
+from stratalake.sinks import (
+    TableLayout,
+    append,
+    delete_all,
+    insert_values,
+    overwrite,
+    replace_partition,
+    upsert,
+)
 from workloads.registry import load, new_lake, query
 
 PEOPLE_SQL = """
@@ -222,12 +230,16 @@ def upsert_unguarded(spark, sf_dir):
 
 @query(
     f"""
-    WITH b AS ({BATCHES_SQL})
+    WITH b AS ({BATCHES_SQL}),
+    one AS (SELECT * FROM b WHERE batch_id = '2024-01-10'),
+    two AS (
+        SELECT t.user_id, coalesce(s.event_type, t.event_type) AS event_type,
+               coalesce(s.value, t.value) AS value, coalesce(s.batch_id, t.batch_id) AS batch_id, t.first_batch
+        FROM one t LEFT JOIN (SELECT * FROM b WHERE batch_id = '2024-01-20') s
+          ON t.user_id = s.user_id AND t.event_type <> 'click')
     SELECT t.user_id, coalesce(s.event_type, t.event_type) AS event_type,
-           coalesce(s.value, t.value) AS value, coalesce(s.batch_id, t.batch_id) AS batch_id,
-           t.first_batch
-    FROM (SELECT * FROM b WHERE batch_id = '2024-01-10') t
-    LEFT JOIN (SELECT * FROM b WHERE batch_id = '2024-01-20') s
+           coalesce(s.value, t.value) AS value, coalesce(s.batch_id, t.batch_id) AS batch_id, t.first_batch
+    FROM two t LEFT JOIN (SELECT * FROM b WHERE batch_id = '2024-01-31') s
       ON t.user_id = s.user_id AND t.event_type <> 'click'
     """
 )
@@ -236,14 +248,15 @@ def upsert_update_only(spark, sf_dir):
     lake = new_lake(spark, "update_only")
     name, events = lake.name("silver", "users"), event_batches(spark, sf_dir)
     overwrite(events.where("batch_id = '2024-01-10'"), name)
-    upsert(
-        events.where("batch_id = '2024-01-20'"),
-        name,
-        keys=["user_id"],
-        update=UPDATED,
-        match="t.event_type <> 'click'",
-        insert=False,
-    )
+    for batch_id in ("2024-01-20", "2024-01-31"):
+        upsert(
+            events.where(F.col("batch_id") == batch_id),
+            name,
+            keys=["user_id"],
+            update=UPDATED,
+            match="t.event_type <> 'click'",
+            insert=False,
+        )
     return spark.table(name)
 
 
@@ -251,16 +264,15 @@ def upsert_update_only(spark, sf_dir):
     f"""
     WITH b AS (SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN user_id END AS user_id)
                FROM ({BATCHES_SQL})),
-         old AS (SELECT * FROM b WHERE batch_id = '2024-01-10'),
-         new AS (SELECT * FROM b WHERE batch_id = '2024-01-20')
-    SELECT old.user_id, coalesce(new.event_type, old.event_type) AS event_type,
-           coalesce(new.value, old.value) AS value, coalesce(new.batch_id, old.batch_id) AS batch_id,
-           old.first_batch
-    FROM old LEFT JOIN new ON old.user_id = new.user_id
+         last AS (
+             SELECT * FROM b WHERE user_id IS NOT NULL
+             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY batch_id DESC) = 1)
+    SELECT l.* REPLACE (f.first_batch AS first_batch) FROM last l
+    JOIN (SELECT user_id, min(first_batch) AS first_batch FROM b GROUP BY user_id) f USING (user_id)
     UNION ALL
-    SELECT * FROM new WHERE user_id IS NULL OR user_id NOT IN (SELECT user_id FROM old WHERE user_id IS NOT NULL)
+    SELECT * FROM b WHERE user_id IS NULL
     UNION ALL
-    SELECT * FROM new WHERE user_id IS NULL
+    SELECT * FROM b WHERE user_id IS NULL AND batch_id > '2024-01-10'
     """
 )
 def upsert_null_keys(spark, sf_dir):
@@ -271,9 +283,9 @@ def upsert_null_keys(spark, sf_dir):
         "user_id", F.when(F.col("event_type") != "error", F.col("user_id"))
     )
     overwrite(events.where("batch_id = '2024-01-10'"), name)
-    for _ in range(2):
+    for batch_id in ("2024-01-20", "2024-01-20", "2024-01-31", "2024-01-31"):
         upsert(
-            events.where("batch_id = '2024-01-20'"), name, keys=["user_id"], update=UPDATED,
+            events.where(F.col("batch_id") == batch_id), name, keys=["user_id"], update=UPDATED,
             guard=NOT_OLDER,
         )
     return spark.table(name)
@@ -284,8 +296,7 @@ def upsert_null_keys(spark, sf_dir):
     SELECT year(o_orderdate)::INTEGER AS order_year, o_orderkey,
            CASE WHEN year(o_orderdate) IN (1996, 1997) AND o_orderstatus <> 'P'
                 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
-    FROM orders WHERE o_orderpriority <> '1-URGENT' OR (year(o_orderdate) IN (1996, 1997)
-                                                        AND o_orderstatus <> 'P')
+    FROM orders
     """
 )
 def upsert_partitioned(spark, sf_dir):
@@ -300,11 +311,10 @@ def upsert_partitioned(spark, sf_dir):
         "o_orderstatus",
     )
     columns = ["order_year", "o_orderkey", "o_totalprice"]
-    known = orders.where("o_orderpriority <> '1-URGENT'").select(*columns)
-    overwrite(known, name, TableLayout(partition_by="order_year"))
-    corrections = orders.where("order_year IN (1996, 1997) AND o_orderstatus <> 'P'").withColumn(
-        "o_totalprice", F.col("o_totalprice") * 2
-    )
+    corrected = F.expr("order_year IN (1996, 1997) AND o_orderstatus <> 'P'")
+    new = corrected & (F.col("o_orderpriority") == "1-URGENT")
+    overwrite(orders.where(~new).select(*columns), name, TableLayout(partition_by="order_year"))
+    corrections = orders.where(corrected).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     upsert(
         corrections.select(*columns),
         name,
@@ -312,3 +322,42 @@ def upsert_partitioned(spark, sf_dir):
         update=["o_totalprice"],
     )
     return spark.table(name).select(*columns)
+
+
+@query(
+    """
+    SELECT year(o_orderdate)::INTEGER AS order_year, month(o_orderdate)::INTEGER AS order_month,
+           o_orderkey, CASE WHEN month(o_orderdate) IN (2, 7) AND year(o_orderdate) > 1996
+                            THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM orders
+    """
+)
+def upsert_partitioned_pair(spark, sf_dir):
+    """Partitions by year and month: corrections of two months a year rewrite these months only."""
+    name = new_lake(spark, "partitioned_pair").name("gold", "orders")
+    columns = ["order_year", "order_month", "o_orderkey", "o_totalprice"]
+    orders = load(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("order_year"), F.month("o_orderdate").alias("order_month"),
+        "o_orderkey", "o_totalprice",
+    )
+    overwrite(orders, name, TableLayout(partition_by=("order_year", "order_month")))
+    corrections = orders.where("order_month IN (2, 7) AND order_year > 1996").withColumn(
+        "o_totalprice", -F.col("o_totalprice")
+    )
+    upsert(corrections, name, keys=columns[:3], update=["o_totalprice"], unique_source=True)
+    return spark.table(name).select(*columns)
+
+
+@query(
+    """
+    SELECT r_regionkey::BIGINT AS r_regionkey, r_name FROM region
+    UNION ALL VALUES (100::BIGINT, 'ATLANTIS'), (101::BIGINT, 'O''HIGGINS')
+    """
+)
+def insert_literal_rows(spark, sf_dir):
+    """Rows given as SQL text, added to a table with rows of its own."""
+    name = new_lake(spark, "literals").name("control", "regions")
+    regions = load(spark, sf_dir, "region")
+    overwrite(regions.select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name"), name)
+    insert_values(spark, name, "(100, 'ATLANTIS')", "(101, 'O\\'HIGGINS')")
+    return spark.table(name)
