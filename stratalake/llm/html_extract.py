@@ -16,7 +16,7 @@ import html
 import math
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -86,7 +86,8 @@ _MARKUP = re.compile(
     r"(?:((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|([^<>]*+)>)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden|data-gold)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_MARK = re.compile(r"(?:^|\s)data-gold=\"([01])\"")  # on the pages that the trainer makes
 _SPLIT = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
 
@@ -102,13 +103,13 @@ class Page:
     gold: list[int] = field(default_factory=list)
     pieces: list[tuple[int, int, str, bool]] = field(default_factory=list)  # node, block, text, link
 
-    def add(self, parent: int, tag: str, attributes: str) -> int:
+    def add(self, parent: int, tag: str, attributes: str, marked: bool = False) -> int:
         hints, gold = 0, -1
+        if marked and (mark := _MARK.search(attributes)):
+            gold = int(mark[1])
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if name == "data-gold":
-                gold = int(value)
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+            if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 hints |= 1 << 9
             elif name == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -125,40 +126,54 @@ class Page:
         return len(self.parent) - 1
 
 
-def read(markup: str) -> Page:
-    """Never fails: stray end tags are passed over, open elements end with the page."""
+def read(markup: str, marked: bool = False) -> Page:
+    """Never fails: stray end tags are passed over, open elements end with the page.  The time is in
+    proportion to the page, whatever is left open.  ``marked`` pages carry the trainer's marks."""
     page = Page()
     stack: list[tuple[str, int]] = [("", page.add(-1, "html", ""))]
+    places: dict[str, list[int]] = {}  # of the open elements of a name, and of all open blocks
     at, block, link = 0, 0, False
+    # No tag ends after the last ">"; only a comment left open reaches beyond it.
+    last = markup.rfind(">") + 1
 
     def text(a: int, b: int) -> None:
         if b > a:
             raw = markup[a:b]
             page.pieces.append((stack[-1][1], block, html.unescape(raw) if "&" in raw else raw, link))
 
-    def end_of(names: set[str], fence: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in fence:
-                return
+    def opened(name: str, attributes: str) -> None:
+        for key in (name, "/") if name in BLOCKS else (name,):
+            places.setdefault(key, []).append(len(stack))
+        stack.append((name, page.add(stack[-1][1], name, attributes, marked)))
 
-    while m := _MARKUP.search(markup, at):
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
+
+    def end_of(names: Iterable[str], fence: Iterable[str]) -> None:
+        """Close the innermost element of one of the names, unless one of ``fence`` is inside it."""
+        i = innermost(names)
+        if i and i >= innermost(fence):
+            for name, _ in stack[i:]:
+                for key in (name, "/") if name in BLOCKS else (name,):
+                    places[key].pop()
+            del stack[i:]
+
+    while m := _MARKUP.search(markup, at, last):
         text(at, m.start())
         at = m.end()
         if m[2] is None:
+            if at == last and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(markup)
             continue
         name, attributes = m[2].lower(), m[3] if m[3] is not None else m[4]
         if m[1]:
             if name in BLOCKS:
                 block, link = block + 1, False
-                if any(n == name for n, _ in stack):
-                    end_of({name}, set())
+                end_of((name,), ())
             elif name == "a":
                 link = False
             if name not in BLOCKS:
-                end_of({name}, BLOCKS)
+                end_of((name,), ("/",))
             continue
         if name in RAW:
             if not attributes.rstrip().endswith("/"):
@@ -178,12 +193,13 @@ def read(markup: str) -> Page:
                 end_of(*CLOSES[name])
             if name == "html" and len(stack) == 1:
                 continue
-            stack.append((name, page.add(stack[-1][1], name, attributes)))
+            opened(name, attributes)
         else:
             link = link or name == "a"
             if _ATTRIBUTE.search(attributes) and not attributes.rstrip().endswith("/"):
-                stack.append((name, page.add(stack[-1][1], name, attributes)))
-    text(at, len(markup))
+                opened(name, attributes)
+    rest = markup.find("<!--", at)
+    text(at, len(markup) if rest < 0 else rest)
     return page
 
 
@@ -438,7 +454,7 @@ def _labels(page: Page) -> np.ndarray:
 @lru_cache(maxsize=1)
 def trained(pages: int = 900, seed: int = 23) -> Trees:
     r = random.Random(seed)
-    made = [read(_made_page(r)) for _ in range(pages)]
+    made = [read(_made_page(r), marked=True) for _ in range(pages)]
     x = np.concatenate([features(p)[1:] for p in made])
     y = np.concatenate([_labels(p)[1:] for p in made])
     return boost(x, y)
