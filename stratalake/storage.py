@@ -8,6 +8,7 @@ and exact file sizes, which is what Catalyst needs to choose a join strategy.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # one process, so its machine's folder is shared
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="stratalake-"))
     return context.getCheckpointDir().rstrip("/")
