@@ -15,11 +15,12 @@ fixed seed, with written-out forms of each kind and with numbers that are no per
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -33,6 +34,7 @@ from stratalake.llm.common import ship, slices
 ship(__name__)
 KINDS = ("email", "ip", "card", "phone")  # fixed order of the result
 LONGEST, SURE = 13, 0.9
+REMEMBERED = 400  # tokens of a region up to which its result is kept for equal ones
 AROUND = 3  # words of context on either side of an open place
 
 _AT = re.compile(r"@")
@@ -154,10 +156,9 @@ def span_features(tokens: list[str], gaps: list[bool], a: int, b: int) -> list[s
     return out
 
 
-def candidates(tokens: list[str]) -> list[tuple[int, int]]:
+def candidates(tokens: list[str]) -> Iterator[tuple[int, int]]:
     """Segments that could be a span: at least four digits or an at-sign, digits or words at
-    the ends, and nothing but words, digits and joining signs inside."""
-    out = []
+    the ends, and nothing but words, digits and joining signs inside.  In order of their start."""
     for a, t in enumerate(tokens):
         if not (t[0].isalnum() or t in "(+["):
             continue
@@ -169,8 +170,22 @@ def candidates(tokens: list[str]) -> list[tuple[int, int]]:
             digits += len(u) if _is_digits(u) else 0
             at = at or u == "@" or u.lower() in _ATS
             if (digits >= 4 or (at and b - a > 3)) and u[0].isalnum():
-                out.append((a, b))
-    return out
+                yield a, b
+
+
+def apart(segments: Iterable[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Groups of segments that no segment joins: the field can decode each by itself, with the same
+    result as all together, because what lies between them scores 0."""
+    group: list[tuple[int, int]] = []
+    reach = 0
+    for a, b in segments:
+        if group and a >= reach:
+            yield group
+            group = []
+        group.append((a, b))
+        reach = max(reach, b)
+    if group:
+        yield group
 
 
 class Field:
@@ -209,10 +224,20 @@ class Field:
         return [math.exp(left[s[0]] + s[3] + right[s[1]] - whole) for s in segments], whole
 
     def decode(self, tokens: list[str], gaps: list[bool]) -> list[tuple[int, int, str, float]]:
-        """Best segmentation: (first token, end token, kind, posterior) of its segments."""
-        n, segments = len(tokens), self.scored(tokens, gaps)
-        if not segments:
-            return []
+        """Best segmentation: (first token, end token, kind, posterior) of its segments.
+
+        Regions of any length are decoded as a whole, a group of connected candidates at a time."""
+        return [s for group in apart(candidates(tokens)) for s in self._decoded(tokens, gaps, group)]
+
+    def _decoded(self, tokens: list[str], gaps: list[bool], group: list[tuple[int, int]]):
+        first = group[0][0]
+        n = max(b for _, b in group) - first
+        segments = []
+        for a, b in group:
+            features = span_features(tokens, gaps, a, b)
+            for k in KINDS:
+                score = sum(self.weights.get(f"{k}|{f}", 0.0) for f in features)
+                segments.append((a - first, b - first, k, score))
         best, back = [0.0] * (n + 1), [-1] * (n + 1)
         ends: list[list[int]] = [[] for _ in range(n + 1)]
         for i, s in enumerate(segments):
@@ -230,8 +255,8 @@ class Field:
             if i < 0:
                 e -= 1
             else:
-                a, b, k, *_rest = segments[i]
-                out.append((a, b, k, sure[i]))
+                a, b, k, _score = segments[i]
+                out.append((a + first, b + first, k, sure[i]))
                 e = a
         return out[::-1]
 
@@ -377,7 +402,13 @@ def _spelled_at(text: str, start: int, end: int) -> bool:
 
 def _reach(text: str, start: int, end: int) -> tuple[int, int]:
     """Place of the words within ``LONGEST`` tokens of a spelled-out at-sign."""
-    before = [m.start() for m in _TOKEN.finditer(text, max(0, start - 600), start)][-LONGEST:]
+    back, before = 600, []
+    while len(before) <= LONGEST:  # one more than asked for: the first may be cut
+        before = [m.start() for m in _TOKEN.finditer(text, max(0, start - back), start)]
+        if back >= start:
+            break
+        back *= 4
+    before = before[-LONGEST:]
     after = [m.end() for m in islice(_TOKEN.finditer(text, end), LONGEST)]
     return min([start, *before]), max([end, *after])
 
@@ -420,6 +451,12 @@ def _shape(tokens: list[str], gaps: list[bool]) -> tuple:
     )
 
 
+def _covered(x: int, y: int, starts: list[int], ends: list[int]) -> bool:
+    """Whether x to y meets one of the spans, which are in order and apart."""
+    last = bisect.bisect_left(starts, y) - 1
+    return last >= 0 and ends[last] > x
+
+
 class Finder:
     """All spans of a text; decoded shapes are remembered, up to a bound."""
 
@@ -428,22 +465,24 @@ class Finder:
 
     def added(self, text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         out = []
+        base = [([s[0] for s in spans if s[2] == k], [s[1] for s in spans if s[2] == k]) for k in KINDS]
         for a, b in open_regions(text, spans):
             tokens, gaps, places = tokenised(text[a:b])
             tokens = [_BRACKETS.get(t, t) for t in tokens]  # the field was shown no braces
-            for i in range(0, len(tokens), 400):  # a very long region, in overlapping stretches
-                part = slice(max(0, i - LONGEST), i + 400 + LONGEST)
-                key = _shape(tokens[part], gaps[part])
-                if key not in self.memo:
+            # Short regions are often alike; a long one is not worth remembering.
+            key = _shape(tokens, gaps) if len(tokens) <= REMEMBERED else None
+            if key is None or key not in self.memo:
+                found = [s for s in self.field.decode(tokens, gaps) if s[3] >= SURE]
+                if key is not None:
                     if len(self.memo) >= self.bound:
                         self.memo.clear()
-                    self.memo[key] = [
-                        s for s in self.field.decode(tokens[part], gaps[part]) if s[3] >= SURE
-                    ]
-                for first, end, kind, _p in self.memo[key]:
-                    x, y = places[part][first][0] + a, places[part][end - 1][1] + a
-                    if all(y <= s[0] or x >= s[1] for s in (*spans, *out)):
-                        out.append((x, y, kind))
+                    self.memo[key] = found
+            else:
+                found = self.memo[key]
+            for first, end, kind, _p in found:
+                x, y = places[first][0] + a, places[end - 1][1] + a
+                if all(not _covered(x, y, *of_kind) for of_kind in base) and (not out or x >= out[-1][1]):
+                    out.append((x, y, kind))
         return out
 
     def spans(self, text: str):
