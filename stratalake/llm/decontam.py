@@ -38,6 +38,7 @@ from stratalake.storage import written_copy
 
 ship(__name__)
 WINDOW, SHINGLE, BLOCK = 10, 3, 100_000
+HOT = 1000  # a list of items that more than 1 / HOT of the documents have is joined apart
 
 
 def _item_windows(size: int):
@@ -256,34 +257,39 @@ def contamination(
         )
     found = written_copy(found, "found")
     has = F.size("_sets") > 0
-    keyed = found.withColumn("_key", F.when(has, F.xxhash64("_sets"))).withColumn(
-        "_spread", F.when(has, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) + 1)
-    )
-    listed = (
-        found.where(has)
-        .select("_sets")
-        .distinct()
-        .select(F.xxhash64("_sets").alias("_key"), F.explode("_sets").alias("set"))
+    keyed = found.where(has).withColumn("_key", F.xxhash64("_sets"))
+    # One row per list of sets, with the number of documents that have it.
+    lists = keyed.groupBy("_key", "_sets").agg(F.count("*").alias("_rows"))
+    listed = written_copy(
+        lists.withColumn("set", F.explode("_sets"))
         .join(members, "set")
-        .groupBy("_key")
+        .groupBy("_key", "_rows")
         .agg(F.sort_array(F.collect_set("item_id")).alias("_items"))
         .select(
             "_key",
-            F.lit(0).cast("long").alias("_spread"),
+            "_rows",
             F.size("_items").cast("long").alias("_n"),
             F.sha2(F.concat_ws(",", "_items"), 256).alias("_sha"),
-        )
+        ),
+        "lists",
     )
+    total = found.count()
+    # At most HOT lists are those of more than 1 / HOT of the documents: they are broadcast.
+    hot = F.broadcast(listed.where(F.col("_rows") * HOT > total).drop("_rows"))
+    cold = listed.where(F.col("_rows") * HOT <= total).drop("_rows")
     nothing = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # SHA-256 of ""
+    kept = ["doc_id", "n_words", "n_hit", "_n", "_sha"]
+    clean = found.where(~has).withColumns({"_n": F.lit(0).cast("long"), "_sha": F.lit(nothing)})
     return (
-        keyed.withColumn("_key", F.coalesce("_key", F.lit(0)))
-        .join(listed, ["_key", "_spread"], "left")
+        clean.select(kept)
+        .unionByName(keyed.join(hot, "_key").select(kept))
+        .unionByName(keyed.join(hot, "_key", "left_anti").join(cold, "_key").select(kept))
         .select(
             "doc_id",
             "n_words",
             "n_hit",
-            F.coalesce("_n", F.lit(0)).alias("n_items"),
-            F.coalesce("_sha", F.lit(nothing)).alias("items_sha256"),
+            F.col("_n").alias("n_items"),
+            F.col("_sha").alias("items_sha256"),
             (F.col("n_hit") > 0).alias("contaminated"),
         )
     )
