@@ -5,8 +5,10 @@
 * A graph over the centroids, held in memory, finds the centroids near a vector by beam search.
 * Every vector joins the list of its nearest centroid and of up to ``COPIES`` in all whose distance
   is within ``BOUNDARY`` of the nearest: vectors at a border are found from either side.
-* A query reads the lists of its ``PROBES`` nearest centroids, fewer if their distance is beyond
-  ``PRUNE`` times the nearest one's.
+* A query reads the lists of its nearest centroids, as many as the bounded sample needs to find the
+  share ``RECALL`` of its own nearest rows; lists beyond ``PRUNE`` times the nearest centroid's
+  distance (or the usual distance of a row from its centroid, if that is larger) are left out, but
+  never so many that fewer than ``k`` candidates would be read.
 * A list is split over tasks by a hash in parts of about ``PART`` rows, each searched with exact
   distances; the parts' best are merged.  No list, however long, meets in one task.
 """
@@ -22,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratalake.llm.common import ship
+from stratalake.llm.common import bounded_sample, ship
 from stratalake.storage import written_copy
 
 ship(__name__)
 SAMPLE, LIST_ROWS, MOST_LISTS = 40_000, 200, 4_000  # rows fitted on; rows a list aims at; lists
 COPIES, BOUNDARY = 4, 1.15
-PROBES, PRUNE = 64, 1.6
+RECALL, TRIED, PRUNE = 0.97, 200, 1.6  # share of neighbours aimed at; sample rows it is measured on
 DEGREE, BEAM = 24, 96
 PART, NEAREST = 4_000, 10
 
@@ -121,15 +123,55 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64) if len(column) else np.zeros((0, 1))
 
 
-def _placed(graph: Graph, most: int, ratio: float):
-    """Arrow function: vec_id, vector -> one row per list it belongs to (or reads)."""
+def _close(dist: np.ndarray, ratio: float, floor: float = 0.0) -> np.ndarray:
+    """Which of the squared distances (nearest first) are within ``ratio`` of the nearest."""
+    return dist <= ratio**2 * np.maximum(dist[:, :1], floor) + 1e-12
+
+
+def usual_distance(x: np.ndarray, graph: Graph) -> float:
+    """Median squared distance of a sample row from its centroid."""
+    return float(np.median(graph.search(x[:2000], 1)[1]))
+
+
+def probes_for(x: np.ndarray, graph: Graph, k: int, floor: float) -> int:
+    """Lists a query must read to find the share ``RECALL`` of its ``k`` nearest sample rows.
+
+    The sample is thinner than the table, so its neighbours are farther away: the number is rather
+    too large than too small.
+    """
+    lists = len(graph.centroids)
+    if lists <= 4 or len(x) <= k + 1:
+        return lists
+    asked = np.linspace(0, len(x) - 1, min(TRIED, len(x))).astype(int)
+    q = x[asked]
+    far = (x**2).sum(1) - 2 * q @ x.T + (q**2).sum(1)[:, None]
+    far[np.arange(len(asked)), asked] = np.inf
+    near = np.argpartition(far, k, axis=1)[:, :k]
+    ids, dist = graph.search(x[near.reshape(-1)], COPIES)
+    held = np.where(_close(dist, BOUNDARY), ids, -1).reshape(len(asked), k, -1)
+    most = 8
+    while True:
+        read, dist = graph.search(q, most)
+        read = np.where(_close(dist, PRUNE, floor), read, -2)
+        found = (held[:, :, :, None] == read[:, None, None, :]).any((2, 3)).mean()
+        if found >= RECALL or most >= lists:
+            return min(most, lists)
+        most = min(lists, most * 3 // 2)
+
+
+def _placed(graph: Graph, most: int, ratio: float, floor: float = 0.0, rows: np.ndarray | None = None, least: int = 0):
+    """Arrow function: vec_id, vector -> one row per list it belongs to (or reads).  Lists are read
+    until they hold ``least`` of the rows counted in ``rows``, close or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for a in range(0, big.num_rows, 512):
                 batch = big.slice(a, 512)
                 ids, dist = graph.search(_matrix(batch.column("vector")), most)
-                close = dist <= ratio**2 * dist[:, :1] + 1e-12
+                close = _close(dist, ratio, floor)
+                if rows is not None:
+                    held = np.cumsum(rows[ids], 1) - rows[ids]  # in the lists before
+                    close |= held < least
                 row, at = np.nonzero(close)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -220,18 +262,28 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST) -> DataFrame:
         )
     rows = rows.where(F.size("vector") == length["d"])
     total = length["count"]
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("vector").limit(SAMPLE)
-    x = _matrix(sample.toArrow().column("vector"))
+    sample = bounded_sample(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vec_id", SAMPLE)
+    x = _matrix(written_copy(sample.select("vec_id", "vector"), "vector_sample").orderBy("vec_id").toArrow().column("vector"))
+    x = x[np.random.default_rng(5).permutation(len(x))]
     lists = int(min(MOST_LISTS, max(1, total // LIST_ROWS), len(x)))
     graph = Graph.over(bisected(x, lists))
     schema = "vec_id long, list long, vector array<double>"
     plain = rows.select("vec_id", "vector")
     posted = written_copy(plain.mapInArrow(_placed(graph, COPIES, BOUNDARY), schema), "posted")
-    parts = posted.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
+    counted = posted.groupBy("list").agg(F.count("*").alias("n"))
+    parts = counted.select("list", F.ceil(F.col("n") / PART).cast("long").alias("parts"))
+    in_list = np.zeros(len(graph.centroids), np.int64)  # one number per list
+    for list_, n in counted.collect():
+        in_list[list_] = n
+    floor = usual_distance(x, graph)
+    # A row is in COPIES lists at most, so that many rows hold k others.
+    least = COPIES * (k + 1)
+    smallest = np.sort(in_list).cumsum()
+    most = max(probes_for(x, graph, k, floor), int(np.searchsorted(smallest, least)) + 1)
     asked = (
         rows.where("is_query")
         .select("vec_id", "vector")
-        .mapInArrow(_placed(graph, PROBES, PRUNE), schema)
+        .mapInArrow(_placed(graph, min(most, len(in_list)), PRUNE, floor, in_list, least), schema)
         .join(parts, "list")
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select("vec_id", "vector", "list", "part")
