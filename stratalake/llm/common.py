@@ -183,8 +183,34 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """At most ``limit`` rows, always the same ones: those with the smallest hash of ``key``."""
-    return df.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(7)), key).limit(limit)
+    """At most ``limit`` rows, always the same ones: those with the smallest hash of ``key``.
+
+    The count of all rows gives a bound that about twice as many hashes pass, so sorting and cutting
+    are left with so many rows whatever the number of tasks.  ``df`` should hold each key once.
+    """
+    rank = F.xxhash64(F.col(key).cast("string"), F.lit(7))
+    rows = df.count()
+    if rows > 4 * limit:  # far below, hashes could be too uneven for a bound
+        share = min(1.0, (2 * limit + 1000) / rows)
+        df = df.where(rank < int(-(2**63) + share * 2**64) if share < 1 else F.lit(True))
+    return df.orderBy(rank, key).limit(limit)
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """doc_id, text, label of at most ``limit`` labelled documents that have a text.
+
+    A doc_id with several labels counts with the largest, one with several texts with the smallest
+    text (the choice is made in the tasks first), so repeated ids add no rows.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    chosen = bounded_sample(known.groupBy("doc_id").agg(F.max(label).alias(label)), "doc_id", limit)
+    texts = docs.where("text is not null").select("doc_id", "text")
+    return (
+        texts.join(F.broadcast(chosen), "doc_id")  # no more than ``limit`` ids
+        .groupBy("doc_id", label)
+        .agg(F.min("text").alias("text"))
+        .select("doc_id", "text", label)
+    )
 
 
 def fold(key: str, modulus: int):

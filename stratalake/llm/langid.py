@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import bounded_sample, ship, slices, text_bytes
+from stratalake.storage import written_copy
 
 ship(__name__)
 WINDOW, HIDDEN, TOGETHER = 48, 8, 2048
@@ -190,8 +191,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
         )
         for j in range(3)
     ]
-    cut = usable.select("doc_id", "lang", F.array(*pieces).alias("pieces"))
-    rows = bounded_sample(cut, "doc_id", sample).collect()
+    # One row per doc_id (the smallest language and pieces), written by tasks: the driver gets
+    # the sample and nothing else.
+    known = usable.where("doc_id is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    chosen = F.broadcast(written_copy(bounded_sample(known, "doc_id", sample), "language_sample"))
+    cut = usable.join(chosen, ["doc_id", "lang"]).select("doc_id", "lang", F.array(*pieces).alias("pieces"))
+    rows = cut.groupBy("doc_id", "lang").agg(F.min("pieces").alias("pieces")).collect()
     langs = sorted({r["lang"] for r in rows})
     if not langs:
         return None

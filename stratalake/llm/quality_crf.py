@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import (
     SPACES,
     U64,
-    bounded_sample,
+    labelled_texts,
     mix,
     ship,
     slices,
@@ -222,16 +222,9 @@ def fit(lines: Lines, labels: list[int]) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on a bounded sample of ``labels(doc_id, quality)`` joined with their texts."""
-    chosen = bounded_sample(
-        labels.where("quality is not null and doc_id is not null").select("doc_id", "quality"),
-        "doc_id",
-        sample,
-    )
     # Tasks read the lines; only their sizes and bins come to the driver.
     rows = (
-        docs.select("doc_id", "text")
-        .where("text is not null")
-        .join(chosen, "doc_id")
+        labelled_texts(docs, labels, "quality", sample)
         .select(F.xxhash64("doc_id", "text").alias("_order"), "text", F.col("quality").cast("long"))
         .mapInArrow(_read, "_order long, quality long, size binary, bins binary")
         .collect()
