@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.functions import stamp_write_times
-from stratalake.plans.control import first_untracked, tracked, untracked
+from stratalake.plans.control import complete_batch as complete_batch_rows
+from stratalake.plans.control import first_untracked, start_batch, tracked, untracked
 from stratalake.sinks import overwrite, upsert
 from workloads.registry import load, new_lake, query
 
@@ -69,3 +70,19 @@ def complete_batch(spark, sf_dir):
         insert=False,
     )
     return spark.table(lake.control_table).select("batch_id", "status")
+
+
+@query(
+    f"""
+    SELECT batch_id, CASE status WHEN 'failed' THEN 'in_progress' ELSE 'completed' END AS status
+    FROM ({DAYS_SQL}) CROSS JOIN (VALUES (1), (2)) attempts(n)
+    """
+)
+def batch_attempts(spark, sf_dir):
+    """Every day is started twice, each attempt with a row of its own; all but the failed days end."""
+    lake = new_lake(spark, "attempts")
+    days = {row.batch_id: row.status for row in _days(spark, sf_dir).collect()}
+    for _ in range(2):
+        start_batch(lake, *days, keep_attempts=True)
+    complete_batch_rows(lake, *[day for day, status in days.items() if status != "failed"])
+    return spark.table(lake.control_table).select("batch_id", "status")

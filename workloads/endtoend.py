@@ -15,6 +15,7 @@ from stratalake.plans.datasets import RESULTS, SPRINTS
 from stratalake.plans.full_load import run_full_load
 from stratalake.plans.incremental import run_next
 from stratalake.plans.lake import Lake
+from stratalake.plans.stages import races_dimension
 from stratalake.sinks import TableLayout, overwrite
 from stratalake.storage import written_copy
 from workloads.files import write_json_documents
@@ -267,6 +268,49 @@ def load_audit(spark, sf_dir):
     return spark.table(lake.audit_table).where("rows_in > 0").drop("audited_timestamp")
 
 
+_RACES_SQL = """
+    SELECT DISTINCT year(l_shipdate)::INTEGER AS season, month(l_shipdate)::INTEGER AS round,
+           (year(l_shipdate) * 12 + month(l_shipdate)) % 120 AS circuit, 'b' || month(l_shipdate) % 3 AS batch
+    FROM lineitem
+"""
+
+
+@query(
+    f"""
+    SELECT scope, season, round, 'Race ' || season || ' ' || round AS race_name, s_name AS circuit_name
+    FROM ({_RACES_SQL}) JOIN supplier ON s_suppkey = circuit, (VALUES ('driving'), ('both')) scopes(scope)
+    WHERE CASE scope WHEN 'both' THEN batch = 'b1' AND s_suppkey % 3 = 1
+                     ELSE batch = 'b1' OR s_suppkey % 3 = 1 END
+    """
+)
+def races_of_one_batch(spark, sf_dir):
+    """The race dimension rows that one batch changes, under both meanings of what it must bring."""
+    lines, suppliers = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "supplier")
+    season, month = F.year("l_shipdate"), F.month("l_shipdate")
+    races = lines.select(season.alias("season"), month.alias("round")).distinct().select(
+        "season",
+        "round",
+        F.concat_ws(" ", F.lit("Race"), "season", "round").alias("race_name"),
+        F.make_date("season", "round", F.lit(1)).alias("race_date"),
+        ((F.col("season") * 12 + F.col("round")) % 120).cast("long").alias("circuit_id"),
+        F.concat(F.lit("b"), F.col("round") % 3).alias("batch_id"),
+    )
+    circuits = suppliers.select(
+        F.col("s_suppkey").cast("long").alias("circuit_id"),
+        F.col("s_name").alias("circuit_name"),
+        F.lit("town").alias("locality"),
+        F.lit("land").alias("country"),
+        F.concat(F.lit("b"), F.col("s_suppkey") % 3).alias("batch_id"),
+    )
+    scopes = [
+        races_dimension(races, circuits, "b1", scope).select(
+            F.lit(scope).alias("scope"), "season", "round", "race_name", "circuit_name"
+        )
+        for scope in ("driving", "both")
+    ]
+    return scopes[0].unionByName(scopes[1])
+
+
 def _standing_sql(entity: str) -> str:
     return f"""
         SELECT '{entity}' AS entity, season, {entity}_id AS id, {entity}_name AS name, nationality,
