@@ -1,14 +1,18 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-All words of a text count.  Inverse document frequencies are counted over all documents.  The
-index keeps, per word and block of ``BLOCK`` examples, the largest weight: the sum of a query's
-words times these maxima bounds every cosine in a block, so blocks are read in order of their
-bound until the bound falls below the k-th best cosine found.  What is skipped cannot be among
-the nearest.
-
-Near examples vote with weight 1 / (distance + ``SOFT``); a logistic curve fitted on the examples,
-each held against the others, turns the vote into a probability.  Texts without any word of
-an example are scored by the examples without words.
+All words of a text count, with weight (1 + log of its times) * idf ** ``POWER``; document
+frequencies are counted over all documents.  The examples are as many toxic as clean ones, at most
+``EACH`` of a label.  Examples of a label that are alike lie together, in blocks of ``BLOCK``; the
+index keeps, per word and block, the largest weight.  What the few common words add is multiplied
+out for all examples; the best of a block in that, and the sum of the query's other words times their
+maxima, bound every cosine in the block.  The blocks with the largest bounds are read first, then all
+whose bound reaches the k-th best cosine found: what is skipped cannot be among the nearest.
+
+Examples vote with their cosine, for and against apart, so that the many clean ones do not always
+win: the nearest one, the mean of the nearest few, and the mean of all of a label.  A logistic curve
+over the logarithms of these votes, fitted on the examples, each held against the others, and moved
+to the share of toxic labels, makes them a probability.  The nearest examples are the evidence.
+Texts without any word of an example are scored by the examples without words.
 """
 
 from __future__ import annotations
@@ -21,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import NOT_ALNUM, U64, bounded_sample, mix, numbers, powers, ship, slices, text_bytes, words
+from stratalake.llm.common import NOT_ALNUM, U64, labelled_texts, mix, numbers, powers, ship, slices, text_bytes, words
 from stratalake.storage import written_copy
 
 ship(__name__)
-SAMPLE = 6000  # labelled examples, at most
-BLOCK, NEAREST, SOFT, PRIOR = 64, 15, 0.2, 2.0
-LEAST_IDF = 0.01
+EACH = 1500  # labelled examples of a label, at most
+BLOCK, NEAREST, FIRST = 64, 15, 4  # examples of a block; examples searched of a label; blocks read at first
+VOTES = (1, 3, 5, NEAREST)
+COMMON, ROWS = 1000, 256  # words in most examples, multiplied out; queries multiplied at a time
+POWER, LEAST_IDF = 2, 0.01
+PRIOR, FAINT = 2.0, 1e-5  # weight of the share of toxic labels; added to votes before the logarithm
 OFTEN, MOST_OFTEN = 1_000, 200_000  # documents that make a word frequent, at least; such words, at most
 
 
@@ -69,19 +76,25 @@ class Index:
     vocabulary: np.ndarray  # all words of the examples, as ordered hashes
     idf: np.ndarray
     ids: np.ndarray
-    toxic: np.ndarray
+    toxic: np.ndarray  # of each example, and of each block
+    block_toxic: np.ndarray
+    block_first: np.ndarray  # first example of each block, and their number
+    common: np.ndarray  # place of each term among the common ones, or -1
+    common_weight: np.ndarray  # of the common terms in every example
     first: np.ndarray  # first entry of each term, and their number
     block: np.ndarray  # of each entry
     most: np.ndarray  # largest weight of each entry
     begin: np.ndarray  # first posting of each entry, and their number
     example: np.ndarray  # of each posting
     weight: np.ndarray
+    mean: np.ndarray  # weight of each term in the mean clean and the mean toxic example
     frequent: np.ndarray  # words of no example that many documents hold, as ordered hashes
     frequent_idf: np.ndarray
     empty: float = 0.0  # share of toxic examples among those without any term
-    rate: float = 0.0
-    slope: float = 1.0
-    offset: float = 0.0
+    rate: float = 0.0  # of toxic labels
+    centre: np.ndarray | None = None  # of the votes, their spread, and the curve over them
+    spread: np.ndarray | None = None
+    curve: np.ndarray | None = None
     rows: int = 0  # documents counted
     counts: DataFrame | None = None  # word, n: in how many documents; stays on the driver
 
@@ -92,51 +105,77 @@ class Index:
             p = slice(self.begin[a], self.begin[b])
             yield self.example[p], self.weight[p], self.begin[a : b + 1] - self.begin[a]
 
-    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, skip: int = -1):
-        """Positions and exact cosines of the k most similar examples; ties to the smaller id."""
+    def search(self, row: np.ndarray, terms: np.ndarray, weight: np.ndarray, rows: int, k: int, skip: np.ndarray | None = None):
+        """The ``k`` most similar examples of each label for many queries at once.
+
+        ``row`` (ascending) says which query a term belongs to; ``skip`` is an example each query
+        must not find.  Gives query, position and exact cosine, by query, clean examples before
+        toxic ones, nearest first, ties to the smaller id.
+        """
+        n, blocks = len(self.ids), len(self.block_toxic)
+        if not n or not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        common = self.common[terms]
+        dense = np.zeros((rows, len(self.common_weight)))
+        dense[row[common >= 0], common[common >= 0]] = weight[common >= 0]
+        total = dense @ self.common_weight
+        row, terms, weight = row[common < 0], terms[common < 0], weight[common < 0]
         count = self.first[terms + 1] - self.first[terms]
-        entry = _runs(self.first[terms], count)
-        factor = np.repeat(weight, count)
-        blocks = -(-len(self.ids) // BLOCK)
-        bound = np.bincount(self.block[entry], factor * self.most[entry], blocks) + 1e-9
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 1e-9]
-        place = np.zeros(blocks, np.int16 if blocks < 1 << 15 else np.int64)
-        place[order] = np.arange(len(order))
-        place = place[self.block[entry]]
-        by = np.argsort(place, kind="stable")
-        entry, factor = entry[by], factor[by]
-        cut = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(order)))])
-        found, cosine, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        a, step = 0, 4
-        while a < len(order):
-            # Blocks are read a few at a time, only those whose bound reaches the floor.
-            b = min(len(order), a + step)
-            if len(found) >= k:
-                b = min(b, int(np.searchsorted(-bound[order], -floor, "right")))
-                if b <= a:
-                    break
-            e = entry[cut[a] : cut[b]]
+        entry, factor = _runs(self.first[terms], count), np.repeat(weight, count)
+        pair = np.repeat(row, count) * blocks + self.block[entry]  # of query and block
+        bound = np.maximum.reduceat(total, self.block_first[:-1], axis=1) + 1e-9
+        bound += np.bincount(pair, factor * self.most[entry], rows * blocks).reshape(rows, blocks)
+        wanted = np.zeros((rows, blocks), bool)
+        for label in (0, 1):
+            mine = np.flatnonzero(self.block_toxic == label)
+            top = np.argpartition(-bound[:, mine], min(FIRST, len(mine)) - 1, axis=1)[:, :FIRST] if len(mine) else mine[None]
+            wanted[np.arange(rows)[:, None], mine[top]] = True
+        read, width = np.zeros((rows, n), bool), np.diff(self.block_first)
+        floor = np.full((rows, 2), 1e-9)
+        for _ in range(2):  # the best blocks, then all that may still hold one of the nearest
+            pick = wanted.reshape(-1)[pair]
+            e = entry[pick]
             size = self.begin[e + 1] - self.begin[e]
             p = _runs(self.begin[e], size)
-            total = np.bincount(self.example[p], np.repeat(factor[cut[a] : cut[b]], size) * self.weight[p])
-            at = np.flatnonzero(total > 0)
-            at = at[at != skip]
-            found, cosine = np.concatenate([found, at]), np.concatenate([cosine, total[at]])
-            best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-            found, cosine = found[best], cosine[best]
-            if len(found) >= k:
-                floor = cosine[-1] - 1e-9
-            a, step = b, 2 * step
-        return found, np.minimum(cosine, 1.0)
-
-    def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        weight = 1 / (1 - cosine + SOFT)
-        return ((weight * self.toxic[found]).sum() + PRIOR * self.rate) / (weight.sum() + PRIOR)
-
-    def calibrated(self, vote: float) -> float:
-        vote = min(max(vote, 1e-4), 1 - 1e-4)
-        return 1 / (1 + np.exp(-(self.slope * np.log(vote / (1 - vote)) + self.offset)))
+            at = np.repeat(pair[pick] // blocks, size) * n + self.example[p]
+            total += np.bincount(at, np.repeat(factor[pick], size) * self.weight[p], rows * n).reshape(rows, n)
+            read |= np.repeat(wanted, width, axis=1)
+            value = np.where(read, total, 0.0)
+            if skip is not None:
+                value[np.arange(rows), skip] = 0
+            for label in (0, 1):
+                mine = value[:, self.toxic == label]
+                if mine.shape[1] >= k:
+                    floor[:, label] = np.maximum(np.partition(mine, -k, axis=1)[:, -k] - 1e-9, 1e-9)
+            wanted = ~read[:, self.block_first[:-1]] & (bound > floor[:, self.block_toxic])
+        query, at = np.nonzero(value >= floor[:, self.toxic])
+        cosine = value[query, at]
+        order = np.lexsort((self.ids[at], -np.round(cosine, 12), self.toxic[at], query))
+        query, at, cosine = query[order], at[order], cosine[order]
+        group = query * 2 + self.toxic[at]
+        keep = np.arange(len(group)) - np.searchsorted(group, group) < k
+        return query[keep], at[keep], np.minimum(cosine[keep], 1.0)
+
+    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int):
+        """Positions and cosines for one query."""
+        return self.search(np.zeros(len(terms), np.int64), terms, weight, 1, k)[1:]
+
+    def of_all(self, row: np.ndarray, terms: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+        """Mean cosine of every query with the clean and with the toxic examples."""
+        return np.stack([np.bincount(row, mean[terms] * weight, rows) for mean in self.mean], 1).astype(float)
+
+    def votes(self, row: np.ndarray, found: np.ndarray, cosine: np.ndarray, of_all: np.ndarray) -> np.ndarray:
+        """One row of votes per query from what :meth:`search` and :meth:`of_all` give."""
+        group = row * 2 + self.toxic[found]
+        place = np.arange(len(group)) - np.searchsorted(group, group)
+        near = [np.bincount(group, cosine * (place < k), 2 * len(of_all)).reshape(-1, 2) / k for k in VOTES]
+        return np.log(np.concatenate([*near, of_all], 1) + FAINT)
+
+    def score(self, votes: np.ndarray) -> np.ndarray:
+        if self.curve is None:
+            return np.full(len(votes), self.rate)
+        x = np.c_[(votes - self.centre) / self.spread, np.ones(len(votes))]
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve, -50, 50)))
 
 
 def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -151,7 +190,21 @@ def _upper(x: np.ndarray) -> np.ndarray:
 
 
 def _idf(n, rows: int):
-    return np.maximum(np.log((rows + 1) / (n + 0.5)), LEAST_IDF)
+    return np.maximum(np.log((rows + 1) / (n + 0.5)), LEAST_IDF) ** POWER
+
+
+def _alike_together(x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``rows`` in parts of at most ``BLOCK``, cut at the median along the main direction of ``x``."""
+    if len(rows) <= BLOCK:
+        return [rows] if len(rows) else []
+    part = x[rows] - x[rows].mean(0)
+    direction = part[np.argmax((part**2).sum(1))]
+    for _ in range(6):
+        direction = part.T @ (part @ direction)
+        direction /= np.linalg.norm(direction) + 1e-300
+    order = rows[np.argsort(part @ direction, kind="stable")]
+    left = -(-len(rows) // (2 * BLOCK)) * BLOCK
+    return _alike_together(x, order[:left]) + _alike_together(x, order[left:])
 
 
 def _found(words: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -163,62 +216,104 @@ def _found(words: np.ndarray, value: np.ndarray) -> np.ndarray:
     return np.where(words[at] == value, at, -1)
 
 
-def build(vocab: np.ndarray, idf: np.ndarray, bags: list) -> Index:
+def build(vocab: np.ndarray, idf: np.ndarray, bags: list, rate: float | None = None) -> Index:
+    """Index of examples (doc_id, toxic, words, times); ``rate`` is the share of toxic labels, by
+    default that of the examples."""
+
     def plain(b, name: str) -> np.ndarray:
         return np.asarray(b[name], np.int64)
 
     bags = sorted(bags, key=lambda b: (b["doc_id"], plain(b, "words").tobytes(), plain(b, "times").tobytes()))
     n, none = len(bags), np.zeros(0, np.int64)
+    toxic = np.array([b["toxic"] for b in bags], np.int64)
     term = _found(vocab, np.concatenate([none, *(plain(b, "words") for b in bags)]))
     times = np.concatenate([none, *(plain(b, "times") for b in bags)])
     row = np.repeat(np.arange(n), [len(b["words"]) for b in bags])
     term, times, row = term[term >= 0], times[term >= 0], row[term >= 0]
     weight = (1 + np.log(times)) * idf[term]
     weight /= np.sqrt(np.bincount(row, weight**2, n))[row]
-    of_row = np.searchsorted(row, np.arange(n + 1))
+    # Blocks of examples of one label that share words, seen through 64 random sums of them.
+    seen = np.zeros((n, 64))
+    spot = mix(vocab.view(U64) if len(vocab) else none.view(U64))[term]
+    np.add.at(seen, (row, (spot >> U64(58)).astype(np.int64)), np.where(spot & U64(1), weight, -weight))
+    blocks = [part for label in (0, 1) for part in _alike_together(seen, np.flatnonzero(toxic == label))]
+    new = np.concatenate([none, *blocks])
+    place, block_of = np.zeros(n, np.int64), np.repeat(np.arange(len(blocks)), [len(b) for b in blocks])
+    place[new] = np.arange(n)
+    bags, toxic, row = [bags[i] for i in new], toxic[new], place[row]
     order = np.lexsort((row, term))
     small = np.int16 if n < 1 << 15 else np.int32  # the index is sent to every executor
     held, example, value = term[order], row[order].astype(small), weight[order]
     fresh = np.ones(len(held), bool)
-    fresh[1:] = (held[1:] != held[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK)
+    fresh[1:] = (held[1:] != held[:-1]) | (block_of[example[1:]] != block_of[example[:-1]])
     begin = np.flatnonzero(fresh)
+    in_examples = np.bincount(held, minlength=len(vocab))
+    often = np.argsort(-in_examples, kind="stable")[:COMMON]
+    common = np.full(len(vocab), -1)
+    common[often] = np.arange(len(often))
+    common_weight = np.zeros((len(often), n))
+    is_common = common[held] >= 0
+    common_weight[common[held[is_common]], example[is_common]] = value[is_common]
+    in_label = np.array([max((toxic == label).sum(), 1) for label in (0, 1)])
+    mean = np.zeros((2, len(vocab)))
+    np.add.at(mean, (toxic[example], held), value)
     index = Index(
         vocabulary=vocab,
         idf=idf,
         ids=np.array([b["doc_id"] for b in bags], np.int64),
-        toxic=np.array([b["toxic"] for b in bags], float),
+        toxic=toxic,
+        block_toxic=np.array([toxic[np.searchsorted(block_of, b)] for b in range(len(blocks))], np.int64),
+        block_first=np.searchsorted(block_of, np.arange(len(blocks) + 1)),
+        common=common,
+        common_weight=common_weight,
         first=np.searchsorted(held[begin], np.arange(len(vocab) + 1)).astype(np.int32),
-        block=example[begin] // BLOCK,
+        block=block_of[example[begin]],
         most=_upper(np.maximum.reduceat(value, begin)) if len(begin) else np.zeros(0, np.float32),
         begin=np.append(begin, len(held)).astype(np.int32),
         example=example,
         weight=value,
+        mean=mean / in_label[:, None],
         frequent=none,
         frequent_idf=np.zeros(0),
     )
-    index.rate = float(index.toxic.mean()) if n else 0.0
-    bare = np.diff(of_row) == 0
-    index.empty = (float(index.toxic[bare].sum()) + PRIOR * index.rate) / (bare.sum() + PRIOR)
-    # Calibration: every example with terms against all others.
-    x, y = [], []
-    for i in np.flatnonzero(~bare):
-        own = slice(of_row[i], of_row[i + 1])
-        vote = index.vote(*index.nearest(term[own], weight[own], NEAREST, skip=i))
-        vote = min(max(vote, 1e-4), 1 - 1e-4)
-        x.append(np.log(vote / (1 - vote)))
-        y.append(index.toxic[i])
-    x, y = np.array(x), np.array(y)
-    for _ in range(100 if len(x) else 0):
-        p = 1 / (1 + np.exp(-(index.slope * x + index.offset)))
-        w = p * (1 - p)
-        g = np.array([((y - p) * x).sum() + (1 - index.slope), (y - p).sum() - index.offset])
-        h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]])
-        d = np.linalg.solve(h, g)
-        index.slope, index.offset = index.slope + 0.5 * d[0], index.offset + 0.5 * d[1]
-    index.slope = max(index.slope, 0.05)
+    index.rate = float(toxic.mean()) if n and rate is None else rate or 0.0
+    bare = np.bincount(row, minlength=n) == 0
+    index.empty = (float(toxic[bare].sum()) + PRIOR * index.rate) / (bare.sum() + PRIOR)
+    if 0 < toxic[~bare].sum() < (~bare).sum():
+        _calibrate(index, term, weight, row, np.flatnonzero(~bare))
     return index
 
 
+def _calibrate(index: Index, term: np.ndarray, weight: np.ndarray, row: np.ndarray, some: np.ndarray) -> None:
+    """Fit the curve on every example with words, held against all others."""
+    order = np.argsort(row, kind="stable")
+    term, weight, row = term[order], weight[order], row[order]
+    first = np.searchsorted(row, np.arange(len(index.ids) + 1))
+    size = np.array([(index.toxic == label).sum() for label in (0, 1)])
+    votes = []
+    for top in range(0, len(index.ids), ROWS):
+        own = slice(first[top], first[min(top + ROWS, len(index.ids))])
+        rows = min(ROWS, len(index.ids) - top)
+        mine = np.arange(top, top + rows)
+        query = (row[own] - top, term[own], weight[own], rows)
+        others = np.repeat(size[None], rows, 0)
+        of_all = index.of_all(*query) * size
+        others[np.arange(rows), index.toxic[mine]] -= 1
+        of_all[np.arange(rows), index.toxic[mine]] -= np.bincount(query[0], query[2] ** 2, rows)
+        votes.append(index.votes(*index.search(*query, NEAREST, mine), np.maximum(of_all, 0) / np.maximum(others, 1)))
+    x, y = np.concatenate(votes)[some], index.toxic[some].astype(float)
+    index.centre, index.spread = x.mean(0), x.std(0) + 1e-9
+    x = np.c_[(x - index.centre) / index.spread, np.ones(len(x))]
+    curve, ridge = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, 0.01), 1e-3)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ curve, -50, 50)))
+        gradient = x.T @ (p - y) + ridge * curve
+        curve -= 0.7 * np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), gradient)
+    share, rate = y.mean(), min(max(index.rate, 1e-6), 1 - 1e-6)
+    curve[-1] += np.log(rate / (1 - rate)) - np.log(share / (1 - share))
+    index.curve = curve
+
+
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text -> word and in how many texts; the number of texts under a null word."""
     for batch in slices(batches, "text"):
@@ -229,18 +324,17 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
-    """Index of a bounded sample of ``labels(doc_id, toxic)``; frequencies over all ``docs``."""
-    chosen = bounded_sample(
-        labels.where("toxic is not null and doc_id is not null").select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic")
-        ),
-        "doc_id",
-        sample,
-    )
+def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Index:
+    """Index of a bounded sample of ``labels(doc_id, toxic)``, at most ``each`` of a label;
+    frequencies over all ``docs``, the share of toxic labels over all ``labels``."""
+    plain = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
+    plain = plain.where("doc_id is not null and toxic in (0, 1)")
+    rate = plain.agg(F.avg("toxic")).first()[0] or 0.0
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = [labelled_texts(texts, plain.where(F.col("toxic") == label), "toxic", each) for label in (0, 1)]
     table = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(chosen, "doc_id")
+        chosen[0]
+        .unionByName(chosen[1])
         .select("doc_id", "toxic", "text")
         .mapInArrow(_bags, "doc_id long, toxic long, words array<long>, times array<long>")
         .toArrow()
@@ -270,7 +364,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     known = words_only.mapInArrow(of_examples, "word long, n long").toArrow()
     n = np.zeros(len(vocab))
     n[np.searchsorted(vocab, known.column("word").to_numpy())] = known.column("n").to_numpy()
-    index = build(vocab, _idf(n, rows), bags)
+    index = build(vocab, _idf(n, rows), bags, rate)
     # Words of many documents are looked up in tasks: the join of the others has no hot word.
     often = words_only.where(F.col("n") >= max(OFTEN, held // MOST_OFTEN)).toArrow()
     word, n = often.column("word").to_numpy(), often.column("n").to_numpy()
@@ -309,7 +403,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     vocab, frequent, none = index.vocabulary, index.frequent, np.zeros(0, np.int64)
     judge = replace(
         index, vocabulary=none, idf=none, first=none, block=none, most=none, begin=none, example=none,
-        weight=none, frequent=none, frequent_idf=none,
+        weight=none, mean=none, common=none, common_weight=none, frequent=none, frequent_idf=none,
     )
 
     def parts(batch: pa.RecordBatch):
@@ -329,23 +423,27 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
             square = np.bincount(row, weight**2, n).astype(float)
             norm = np.sqrt(square)
             first = np.searchsorted(row, np.arange(n + 1))
-            found, cosine = [], []
-            for a, b, whole in zip(first[:-1], first[1:], norm, strict=True):
-                own = np.flatnonzero(known[a:b]) + a
-                near = index.nearest(at[own], weight[own] / whole, NEAREST) if len(own) else (np.zeros(0, int), np.zeros(0))
-                found.append(near[0])
-                cosine.append(near[1])
-            cut = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32))
+            weight /= np.maximum(norm, 1e-300)[row]
+            parts_found = []
+            for top in range(0, n, ROWS):
+                some = np.flatnonzero(known[first[top] : first[min(top + ROWS, n)]]) + first[top]
+                query = (row[some] - top, at[some], weight[some], min(ROWS, n - top))
+                near = index.search(*query, NEAREST)
+                parts_found.append((near[0] + top, near[1], near[2], index.of_all(*query)))
+            of, found, cosine, of_all = (np.concatenate(x) for x in zip(*parts_found, strict=True))
+            cut = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(_row_keys(batch)),
                     pa.array(np.bincount(row[rare], minlength=n) > 0),
                     pa.array(square),
-                    pa.ListArray.from_arrays(cut, pa.array(np.concatenate([np.zeros(0, int), *found]).astype(np.int32))),
-                    pa.ListArray.from_arrays(cut, pa.array(np.concatenate([np.zeros(0), *cosine]))),
+                    pa.ListArray.from_arrays(cut, pa.array(found.astype(np.int32))),
+                    pa.ListArray.from_arrays(cut, pa.array(cosine)),
+                    pa.array(of_all[:, 0], pa.float64()),
+                    pa.array(of_all[:, 1], pa.float64()),
                 ],
-                ["doc_id", "_key", "_rare", "_square", "_found", "_cosine"],
+                ["doc_id", "_key", "_rare", "_square", "_found", "_cosine", "_clean", "_toxic"],
             )
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,23 +459,20 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, evidence = [], []
             square = batch.column("_square").to_numpy()
             share = np.sqrt(square / np.maximum(square + batch.column("_other").to_numpy(), 1e-300))
-            for found, cosine, part in zip(
-                batch.column("_found").to_pylist(), batch.column("_cosine").to_pylist(), share, strict=True
-            ):
-                found, cosine = np.array(found, np.int64), np.array(cosine) * part
-                scores.append(judge.calibrated(judge.vote(found, cosine)) if len(found) else judge.empty)
-                evidence.append(
-                    [{"doc_id": int(d), "cosine": float(c)} for d, c in zip(judge.ids[found], cosine, strict=True)]
-                )
+            size = batch.column("_found").value_lengths().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), size)
+            found = batch.column("_found").flatten().to_numpy()
+            cosine = batch.column("_cosine").flatten().to_numpy() * share[row]
+            of_all = np.stack([batch.column(c).to_numpy() for c in ("_clean", "_toxic")], 1) * share[:, None]
+            scores = np.where(size > 0, judge.score(judge.votes(row, found, cosine, of_all)), judge.empty)
+            cut = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+            near = pa.StructArray.from_arrays(
+                [pa.array(judge.ids[found]), pa.array(judge.toxic[found]), pa.array(cosine)], ["doc_id", "toxic", "cosine"]
+            )
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(scores, pa.float64()),
-                    pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
-                ],
+                [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.ListArray.from_arrays(cut, near)],
                 ["doc_id", "score", "evidence"],
             )
 
@@ -385,7 +480,8 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     keyed = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("_seed"))
     near = keyed.mapInArrow(
         searched,
-        f"doc_id {kind}, _key long, _rare boolean, _square double, _found array<int>, _cosine array<double>",
+        f"doc_id {kind}, _key long, _rare boolean, _square double, _found array<int>, _cosine array<double>, "
+        "_clean double, _toxic double",
     )
     pairs = keyed.mapInArrow(rare_words, "_key long, _lead long, word long, times long")
     if counts is None:
@@ -393,6 +489,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     idf = F.greatest(
         F.log((F.lit(index.rows) + 1) / (F.coalesce("n", F.lit(0)) + 0.5)), F.lit(LEAST_IDF)
     )
+    idf = F.pow(idf, F.lit(float(POWER)))
     other = (
         pairs.join(counts, "word", "left")
         .select("_key", "_lead", F.pow((F.log("times") + 1) * idf, F.lit(2.0)).alias("_part"))
@@ -406,7 +503,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
         .join(other, "_key", "left")
         .withColumn("_other", F.when(F.col("_rare"), F.col("_other")).otherwise(F.lit(0.0)))
         .withColumn("_other", F.coalesce("_other", F.lit(0.0)))
-        .select("doc_id", "_square", "_other", "_found", "_cosine")
-        .mapInArrow(voted, f"doc_id {kind}, score double, evidence array<struct<doc_id: long, cosine: double>>")
+        .select("doc_id", "_square", "_other", "_found", "_cosine", "_clean", "_toxic")
+        .mapInArrow(voted, f"doc_id {kind}, score double, evidence array<struct<doc_id: long, toxic: long, cosine: double>>")
         .select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
     )

@@ -105,6 +105,15 @@ def test_contamination(spark, odd):
     many = decontam.contamination(odd, bench, block=7)  # several passes, same result
     assert {tuple(r) for r in many.collect()} == {tuple(r) for r in decontam.contamination(odd, bench).collect()}
     assert decontam.contamination(odd, bench.limit(0)).where("contaminated").count() == 0
+    clash = bench.withColumns({c: F.lit("x") for c in ("window", "set", "_key", "_sets", "n", "doc_id", "contaminated")})
+    assert {tuple(r) for r in decontam.contamination(odd, clash).collect()} == {tuple(r) for r in many.collect()}
+    # A list of items that a third of all rows have, and many others.
+    hot = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(prose(1, 50))).when(F.col("id") % 3 == 1, F.lit(prose(2, 30))).alias("text"),
+    )
+    got = decontam.contamination(hot, bench).groupBy("contaminated", "n_items", "n_hit").count().collect()
+    assert sorted(map(tuple, got)) == [(False, 0, 0, 2000), (True, 2, 50, 1000)]
     assert decontam.contamination(odd.limit(0), bench).count() == 0
 
 
@@ -210,8 +219,12 @@ def test_nearest_examples_are_exact():
         if len(terms):
             found, cosine = index.nearest(terms, dense[i, terms], 10)
             exact = np.round(dense @ dense[i], 12)
-            best = [j for j in np.lexsort((np.arange(400), -exact)) if exact[j] > 0][:10]
+            order = [j for j in np.lexsort((index.ids, -exact)) if exact[j] > 0]
+            best = [j for label in (0, 1) for j in [j for j in order if index.toxic[j] == label][:10]]
             assert found.tolist() == best and np.allclose(cosine, exact[best])
+            one = index.of_all(np.zeros(len(terms), int), terms, dense[i, terms], 1)[0]
+            assert np.allclose(one, [(dense @ dense[i])[index.toxic == c].mean() for c in (0, 1)])
+    assert all(len(set(index.toxic[index.example[a:b]])) == 1 for a, b in zip(index.begin, index.begin[1:]))
 
 
 def test_language(spark, odd):
