@@ -17,9 +17,17 @@ from stratalake.storage import written_copy
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, refused: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among the refused ones; rows without doc_id stay."""
-    return docs.join(refused.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+ROW = "_pipeline_row"
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """A written copy in which every row has a number of its own: doc_id may be null or repeated, so
+    decisions are made and applied by row.  Numbers that are read from files cannot change."""
+    return written_copy(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +38,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
-    return _without(docs, odd_sketch.near_duplicates(docs).where("not kept"))
+    """One row of each group of near copies stays, repeated rows included: the one with the smallest
+    doc_id, null being the largest.  Texts without words are copies of nothing."""
+    rows = _numbered(docs, "numbered")
+    groups = odd_sketch.near_duplicates(_by_row(rows)).select(F.col("doc_id").alias(ROW), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)))
+    kept = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first[ROW].alias(ROW))
+    return rows.join(kept.select(ROW), ROW, "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    """Rows that hold a benchmark passage go, whatever their doc_id."""
+    rows = _numbered(docs, "numbered")
+    found = decontam.contamination(_by_row(rows), table(spark, sf_dir, "benchmark"))
+    refused = found.where("contaminated").select(F.col("doc_id").alias(ROW))
+    return rows.join(refused, ROW, "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
