@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import decontam, odd_sketch, quality_crf, semicrf, sentencepieces
 from stratalake.llm.common import fold, table
-from stratalake.storage import written_copy
+from stratalake.storage import delete_folder, scratch_dir, written_copy
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -77,10 +77,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again before the next.  What a stage
+    wrote is deleted once the stage after it has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written_copy(docs, name)
+            path = scratch_dir(spark, name)
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            if before:
+                delete_folder(spark, before)
+            before = path
     return docs
