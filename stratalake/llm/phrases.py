@@ -33,7 +33,7 @@ ship(__name__)
 LONGEST, LEAST, TOP = 5, 100, 2000  # words of a phrase at most; occurrences at least; phrases a language
 SEGMENT = 1 << 20  # bytes of a long text handled at a time
 BUFFER = 1 << 21  # fingerprints a task adds up before it hands them on
-SALTS = 8
+SALTS, PARTS = 8, 32  # copies of counts that parts of phrases meet; parts in which a language is ranked
 BLANK = byte_set((0x20, 0x20), (0x09, 0x09))
 BREAK = byte_set((0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"])
 _APART = BLANK | BREAK
@@ -287,8 +287,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     Words are lower-cased over A-Z.  A null lang is ``und``; null and empty texts have no words;
     repeated rows count each time; other columns are ignored; an empty table gives no rows.
     """
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(frequent_phrases(docs, longest, least)).withColumn("rank", F.row_number().over(order))
+    best = (F.desc("score"), F.desc("a"), F.col("phrase"))
+    # The best of a language are among the best of its parts: no task ranks more than PARTS * top.
+    found = scored(frequent_phrases(docs, longest, least)).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    of_part = Window.partitionBy("lang", "_part").orderBy(*best)
+    found = found.withColumn("_place", F.row_number().over(of_part)).where(F.col("_place") <= top)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
     return ranked.where(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
