@@ -34,6 +34,8 @@ from stratalake.plans.datasets import (
 from stratalake.plans.full_load import gold_layout, load_lookup, together
 from stratalake.plans.incremental import (
     DIMENSIONS,
+    all_keys_checked,
+    bronze_sessions,
     load_bronze_batch,
     sessions_written_by,
     write_gold,
@@ -132,11 +134,15 @@ def load_silver_backlog(
 ) -> dict[str | None, dict[str, int]]:
     """Merge the last writer of every key; returns what cleaning removed from each batch."""
     audit = RowLoss({batch_id: F.col(BATCH_ID) == batch_id for batch_id in batch_ids})
-    with staged(cleaned_batches(lake, dataset, batch_ids, audit, **options), "backlog") as rows:
-        write_silver(
-            last_writers(rows, dataset.spec.keys), lake.name("silver", dataset.name), dataset.spec.keys,
-            dataset.update, lake.layout("silver", dataset.name, dataset.layout),
-        )
+    cleaned, keys = cleaned_batches(lake, dataset, batch_ids, audit, **options), dataset.spec.keys
+    rest = (keys, dataset.update, lake.layout("silver", dataset.name, dataset.layout))
+    if all_keys_checked(dataset):  # no null keys, so the cleaned rows are used once
+        last = first_per_key(cleaned, keys, [F.col(BATCH_ID).desc()])
+        bronze = of_batch(lake.table("bronze", dataset.name), *batch_ids)
+        write_silver(last, lake.name("silver", dataset.name), *rest, bronze)
+    else:
+        with staged(cleaned, "backlog") as rows:
+            write_silver(last_writers(rows, keys), lake.name("silver", dataset.name), *rest)
     return audit.counts()
 
 
@@ -193,6 +199,7 @@ def _merge_gold(lake: Lake, batch_ids: Sequence[str], refresh_all: bool) -> None
 
     def build(table: str) -> None:
         keys, update = merge_rules[table]
-        write_gold(builds[table](), lake.name("gold", table), keys, update, gold_layout(lake, table))
+        bronze = bronze_sessions(lake, *batch_ids) if table.startswith("fact") else None
+        write_gold(builds[table](), lake.name("gold", table), keys, update, gold_layout(lake, table), bronze)
 
     together(build, builds)
