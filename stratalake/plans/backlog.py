@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.lineage import BATCH_ID
-from stratalake.operators.conform import conform, keys_present
+from stratalake.operators.conform import ConformSpec, business_order, conform, keys_present, shape
 from stratalake.operators.dedupe import first_per_key
-from stratalake.operators.quality import RowLoss
+from stratalake.operators.quality import RowLoss, removed_rows
 from stratalake.plans import control
 from stratalake.plans.claims import all_claimed
 from stratalake.plans.datasets import (
@@ -71,6 +71,25 @@ def last_writers(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return last.unionByName(rows.where(~can_match))
 
 
+def last_cleaned(
+    bronze: DataFrame, spec: ConformSpec, *, strict_keys: bool = True, arbitrary: bool = False
+) -> DataFrame:
+    """What :func:`last_writers` leaves of batches cleaned one by one, with one shuffle: of the rows
+    with one key the first, in cleaning's own order, of the last batch."""
+    order = [] if arbitrary else business_order(shape(bronze, spec), spec.keys)
+    return conform(bronze, spec, strict_keys=strict_keys, order=[F.col(BATCH_ID).desc(), *order])
+
+
+def batch_losses(
+    bronze: DataFrame, spec: ConformSpec, batch_ids: Sequence[str]
+) -> dict[str | None, dict[str, int]]:
+    """What cleaning removes from each batch, for specs that check all keys: only keys are shuffled."""
+    lost = removed_rows(shape(bronze, spec), spec.keys, by=BATCH_ID)
+    found = {row[BATCH_ID]: row.asDict() for row in lost.collect()}
+    numbers = [name for name in lost.columns if name != BATCH_ID]
+    return {b: {n: found[b][n] if b in found else 0 for n in numbers} for b in batch_ids}
+
+
 def history(existing: DataFrame | None, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every state of a row: the existing one, then the versions that a guarded merge accepts, with
     the batch each holds from (null: before the backlog) and the batch it is replaced by.  Rows with
@@ -133,16 +152,15 @@ def load_silver_backlog(
     lake: Lake, dataset: Dataset, batch_ids: Sequence[str], **options
 ) -> dict[str | None, dict[str, int]]:
     """Merge the last writer of every key; returns what cleaning removed from each batch."""
-    audit = RowLoss({batch_id: F.col(BATCH_ID) == batch_id for batch_id in batch_ids})
-    cleaned, keys = cleaned_batches(lake, dataset, batch_ids, audit, **options), dataset.spec.keys
+    keys, name = dataset.spec.keys, lake.name("silver", dataset.name)
     rest = (keys, dataset.update, lake.layout("silver", dataset.name, dataset.layout))
-    if all_keys_checked(dataset):  # no null keys, so the cleaned rows are used once
-        last = first_per_key(cleaned, keys, [F.col(BATCH_ID).desc()])
+    if all_keys_checked(dataset):  # no null keys, so one pass finds the row of the last batch
         bronze = of_batch(lake.table("bronze", dataset.name), *batch_ids)
-        write_silver(last, lake.name("silver", dataset.name), *rest, bronze)
-    else:
-        with staged(cleaned, "backlog") as rows:
-            write_silver(last_writers(rows, keys), lake.name("silver", dataset.name), *rest)
+        write_silver(last_cleaned(bronze, dataset.spec, **options), name, *rest, bronze)
+        return batch_losses(bronze, dataset.spec, batch_ids)
+    audit = RowLoss({batch_id: F.col(BATCH_ID) == batch_id for batch_id in batch_ids})
+    with staged(cleaned_batches(lake, dataset, batch_ids, audit, **options), "backlog") as rows:
+        write_silver(last_writers(rows, keys), name, *rest)
     return audit.counts()
 
 

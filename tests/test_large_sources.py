@@ -8,7 +8,14 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.plans.backlog import run_backlog
+from stratalake.plans.backlog import (
+    batch_losses,
+    cleaned_batches,
+    last_cleaned,
+    last_writers,
+    load_silver_backlog,
+    run_backlog,
+)
 from stratalake.plans.datasets import RESULTS
 from stratalake.plans.incremental import load_bronze_batch, load_silver_batch, run_batch
 from stratalake.sinks import TableLayout, overwrite, tables, upsert
@@ -86,3 +93,20 @@ def test_a_direct_source_may_repeat_or_lack_keys(lake):
     with pytest.raises(ValueError, match="a"):
         upsert(twice, name, **direct)
     assert spark.table(name).agg(F.sum("v")).first()[0] == 15
+
+
+def test_the_last_cleaned_row_is_the_one_of_the_last_batch(lake, monkeypatch):
+    """One shuffle of whole rows for a backlog, however many batches it has."""
+    batches(lake)
+    pending = ["2025-01", "2025-02", "2025-03"]
+    with everything_large(lake.spark):
+        for batch_id in pending:
+            load_bronze_batch(lake, RESULTS, batch_id)
+        plans = recorded(monkeypatch)
+        load_silver_backlog(lake, RESULTS, pending)
+        assert len(plans) == 1 and plans[0].count("Exchange") == 1, plans
+    bronze = lake.table("bronze", "results")
+    cleaned = cleaned_batches(lake, RESULTS, pending)
+    want = last_writers(cleaned, RESULTS.spec.keys)
+    assert rows(last_cleaned(bronze, RESULTS.spec), *want.columns) == rows(want)
+    assert batch_losses(bronze.limit(0), RESULTS.spec, ["x"])["x"]["rows_in"] == 0
