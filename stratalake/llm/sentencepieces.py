@@ -33,7 +33,7 @@ from stratalake.llm.common import U64, mix, numbers, powers, process_cache, ship
 ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, ALPHA = 2, 1.0
-SLICE, REMEMBERED = 1 << 20, 600_000
+SLICE, REMEMBERED = 1 << 18, 600_000  # a slice's lattice takes some hundred times its bytes
 BLANK = 0x20
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
@@ -31,3 +34,21 @@ def test_a_wrong_id_is_noticed():
     text = pa.array(["hello there", "hello there", "hello there", None])
     assert sentencepieces._decoded_same(v, own, samples, text).to_pylist() == [True, False, False, True]
     assert sentencepieces.texts_of(v, pa.array([None, [int(v.byte_id[0xC3])]], pa.list_(pa.int32()))).to_pylist() == ["", ""]
+
+
+def test_segmenting_a_megabyte_takes_little_memory():
+    """The two workers of an executor keep what a slice took while the pipeline goes on."""
+    r = random.Random(1)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(r.choices(words, k=300)) for _ in range(500)]
+    number = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([number, pa.array(texts), number], ["doc_id", "text", "_seed"])
+    proto = open(sentencepieces.MODEL, "rb").read()
+    sentencepieces._vocabulary(proto, 1.0)
+    sentencepieces.powers(1 << 21)
+    tracemalloc.start()
+    try:
+        rows = sum(x.num_rows for x in sentencepieces.segment(proto, 2, 1.0, True)(iter([batch])))
+        assert rows == len(texts) and tracemalloc.get_traced_memory()[1] < 55e6
+    finally:
+        tracemalloc.stop()
