@@ -4,9 +4,9 @@ Texts are cut at punctuation into pieces, pieces at blanks into words; a phrase
 within a piece.  The lower-cased words of a batch are laid out with one blank between them, and the
 prefix sums of a polynomial over these bytes give the fingerprint of every run by a subtraction.
 
-* One pass per length counts fingerprints in Spark.  A phrase is frequent only if its first and its
-  last words but one are, so a pass looks up the frequent shorter phrases of the pass before in a
-  Bloom filter and counts nothing else.
+* One pass per length counts fingerprints in Spark; from four words on, one pass counts two lengths.
+  A phrase is frequent only if its first and its last words but one are, so a pass looks up the
+  frequent shorter phrases of the pass before in a Bloom filter and counts nothing else.
 * The last pass follows the fingerprints that may be frequent back to the text: in every batch the
   occurrences of a fingerprint are compared, word by word, with the one its group points at, so
   two phrases that share a fingerprint are told apart, and the phrase is spelled once per batch.
@@ -32,7 +32,8 @@ from stratalake.storage import written_copy
 ship(__name__)
 LONGEST, LEAST, TOP = 5, 100, 2000  # words of a phrase at most; occurrences at least; phrases a language
 SEGMENT = 1 << 20  # bytes of a long text handled at a time
-BUFFER = 1 << 21  # fingerprints a task adds up before it hands them on
+BUFFER = 1 << 22  # fingerprints a task adds up before it hands them on
+HANDED = 1 << 18  # rows handed on at a time
 SALTS, PARTS = 8, 32  # copies of counts that parts of phrases meet; parts in which a language is ranked
 BLANK = byte_set((0x20, 0x20), (0x09, 0x09))
 BREAK = byte_set((0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"])
@@ -99,8 +100,12 @@ class Runs:
     def marked(self, length: int, frequent: Bloom) -> np.ndarray:
         """By first word: does a run of ``length`` words begin here that may be frequent?"""
         at, value = self.of(length)
+        return self.marks(at[frequent.has(value)])
+
+    def marks(self, at: np.ndarray) -> np.ndarray:
+        """By first word: is it among ``at``?"""
         out = np.zeros(len(self.begin) + 1, bool)
-        out[at[frequent.has(value)]] = True
+        out[at] = True
         return out
 
     def ids(self) -> np.ndarray:
@@ -143,32 +148,38 @@ def _seeds(langs: list[str]) -> np.ndarray:
     return mix(np.array([(_BYTE[data[a:b]] * power[: b - a]).sum() for a, b in zip(offsets, offsets[1:], strict=False)], U64))
 
 
-def _added(value: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(value)
-    value, count = value[order], count[order]
-    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
-    return value[first], np.add.reduceat(count, first) if len(first) else count
+def _handed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for a in range(0, batch.num_rows, HANDED):
+        yield batch.slice(a, HANDED)
 
 
-def _counted(length: int, frequent: Bloom | None):
-    """Arrow function: lang, text -> print, n of the runs of ``length`` words that may be frequent."""
+def _added(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Every fingerprint once, with its number; empties ``held``."""
+    value = np.concatenate(held)
+    held.clear()
+    value.sort()
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
+    count = np.diff(np.append(first, len(value)))
+    return pa.RecordBatch.from_arrays([pa.array(value[first].view(np.int64)), pa.array(count)], ["print", "n"])
+
 
-    def handed(held: list) -> pa.RecordBatch:
-        value, count = _added(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], ["print", "n"])
+def _counted(lengths: list[int], frequent: Bloom | None):
+    """Arrow function: lang, text -> print, n of the runs of ``lengths`` words that may be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for runs, _, _ in _runs(batches):
-            at, value = runs.of(length, runs.marked(length - 1, frequent) if frequent else None)
-            value = value[at < runs.own]
-            held.append(_added(value, np.ones(len(value), np.int64)))
-            size += len(held[-1][0])
+            below = runs.marked(lengths[0] - 1, frequent) if frequent else None
+            for length in lengths:
+                at, value = runs.of(length, below)
+                below = runs.marks(at)
+                held.append(value[at < runs.own])
+                size += len(held[-1])
             if size > BUFFER:
-                yield handed(held)
-                held, size = [], 0
-        if held:
-            yield handed(held)
+                yield from _handed(_added(held))
+                size = 0
+        if size:
+            yield from _handed(_added(held))
 
     return run
 
@@ -178,7 +189,7 @@ def _grouped(runs: Runs, at: np.ndarray, value: np.ndarray, parts: list[np.ndarr
 
     Runs with one fingerprint are compared with the run their group points at; ``parts`` are the
     numbers that make a phrase: its language and its words."""
-    order = np.argsort(value, kind="stable")
+    order = np.argsort(value)
     at, value, parts = at[order], value[order], [p[order] for p in parts]
     fresh = np.append(True, value[1:] != value[:-1])[: len(at)]
     group, first = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
@@ -209,8 +220,7 @@ def _spelled(frequent: list[Bloom]):
                 at, value = runs.of(length, below)
                 may = known.has(value)
                 at, value = at[may], value[may]
-                below = np.zeros(len(runs.begin) + 1, bool)
-                below[at] = True
+                below = runs.marks(at)
                 at, value = at[at < runs.own], value[at < runs.own]
                 lead, count = _grouped(runs, at, value, [spoken[at], *[ids[at + j] for j in range(length)]])
                 lang = pa.array(langs, pa.string()).take(pa.array(spoken[lead]))
@@ -221,24 +231,30 @@ def _spelled(frequent: list[Bloom]):
     return run
 
 
+def _passes(longest: int) -> list[list[int]]:
+    """The lengths that are counted in one pass over the texts."""
+    short = min(longest, 3)
+    return [[m] for m in range(1, short + 1)] + [[*range(m, min(m + 1, longest) + 1)] for m in range(4, longest + 1, 2)]
+
+
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, phrase, n: every phrase of 1 to ``longest`` words with ``least`` occurrences or more in
     its language; and, under a null phrase, the number of words of every language that has any."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     blooms: list[Bloom] = []
-    for length in range(1, longest + 1):
+    for lengths in _passes(longest):
         found = written_copy(
-            texts.mapInArrow(_counted(length, blooms[-1] if blooms else None), "print long, n long")
+            texts.mapInArrow(_counted(lengths, blooms[-1] if blooms else None), "print long, n long")
             .groupBy("print")
             .agg(F.sum("n").alias("n"))
             .where(F.col("n") >= least)
             .select("print"),
-            f"frequent_{length}",
+            f"frequent_{lengths[0]}",
         )
         count = found.count()
         if not count:
             break
-        blooms.append(bloom(found, "print", count))
+        blooms += [bloom(found, "print", count)] * len(lengths)
     spelled = texts.mapInArrow(_spelled(blooms), "lang string, phrase string, n long")
     counted = spelled.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return written_copy(counted.where((F.col("phrase").isNull() & (F.col("n") > 0)) | (F.col("n") >= least)), "phrases")

@@ -125,3 +125,21 @@ def test_scores_are_exact_beyond_64_bits(spark):
         want[f"x{i} y{i}"] = 1000 * a * rows[0][2] // (left * right)
     got = ph.scored(spark.createDataFrame(rows, "lang string, phrase string, n long"))
     assert {x["phrase"]: x["score"] for x in got.collect()} == want
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3, 4, 5, 6])
+def test_lengths_counted_together_and_small_buffers(spark, monkeypatch, longest):
+    for name, size in (("BUFFER", 300), ("HANDED", 7)):
+        monkeypatch.setattr(ph, name, size)
+    rows = rows_of(longest)
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    got = ph.collocations(df, longest=longest, least=4)
+    assert sorted(tuple(x) for x in got.collect()) == plain(rows, 4, longest=longest)
+
+
+def test_fewer_passes_than_lengths(spark, monkeypatch):
+    passes, counted = [], ph._counted
+    monkeypatch.setattr(ph, "_counted", lambda lengths, frequent: passes.append(lengths) or counted(lengths, frequent))
+    rows = rows_of(5)
+    got = ph.collocations(spark.createDataFrame(rows, SCHEMA).coalesce(2), least=4)
+    assert sorted(tuple(x) for x in got.collect()) == plain(rows, 4) and len(passes) == 4
